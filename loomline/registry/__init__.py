@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("silver_gold",)
+MODULES = ("silver_gold", "measure_queries")
 
 
 def load_entries():
