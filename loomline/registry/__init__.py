@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("silver_gold", "measure_queries")
+MODULES = ("silver_gold", "measure_queries", "load_queries", "quality_queries")
 
 
 def load_entries():

@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.intervals import machine_status_daily_fact
 from ..plans import gold, silver
 from ..sources.tables import spread_small
 
@@ -31,9 +32,12 @@ class Mill:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        if name not in self._tables:
+            self._tables[name] = spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        return self._tables[name]
 
     # -- raw ---------------------------------------------------------------
 
@@ -232,8 +236,8 @@ class Mill:
         return silver.complete_beam(self.raw_complete_beam)
 
     @cached_property
-    def gold(self) -> gold.Gold:
-        return gold.build(self.slv_machine_status, self.slv_textile_days, self.slv_start_beam)
+    def gold(self) -> LazyGold:
+        return LazyGold(self)
 
     @cached_property
     def machine_dim(self) -> DataFrame:
@@ -243,3 +247,23 @@ class Mill:
     @cached_property
     def date_dim(self) -> DataFrame:
         return gold.date_dim(self.gold.production, self.gold.status, self.gold.plans)
+
+
+class LazyGold:
+    """The facts and plans of a mill, each built when first asked for."""
+
+    def __init__(self, mill: Mill):
+        self._mill = mill
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return machine_status_daily_fact(self._mill.slv_machine_status)
+
+    @cached_property
+    def plans(self) -> DataFrame:
+        return gold.beam_plan_dim(self._mill.slv_start_beam)
+
+    @cached_property
+    def production(self) -> DataFrame:
+        machines = gold.status_machines(self._mill.slv_machine_status)
+        return gold.production_daily_fact(self._mill.slv_textile_days, machines, self.plans)

@@ -19,6 +19,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column expression makes plans of
+    # this size slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.naming import match_columns
+from ..operators.incremental import all_string, incremental_rows, source_sort, union_frames, with_stored_names
 
 
 def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -15,3 +21,79 @@ def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key or df.columns[0])
+
+
+def replace_table(frames: Sequence[DataFrame], name: str) -> None:
+    """Replace a raw table by the union of frames, all text; the old one stays until the new is written."""
+    swap_in(union_frames(frames), name)
+
+
+def append_table(source: DataFrame, name: str, column: str, kind: str, sort: Sequence[str] = ()) -> None:
+    """Append source rows above the stored mark; the first load stores everything.
+
+    New columns are added to the table as text, names matched without case.
+    """
+    spark = source.sparkSession
+    rows = all_string(source)
+    if not spark.catalog.tableExists(name):
+        source_sort(rows, sort or (column,)).write.saveAsTable(name)
+        return
+    stored = spark.table(name)
+    widened, _ = match_columns(stored.columns, rows.columns)
+    added = widened[len(stored.columns):]
+    if added:
+        spec = ", ".join(f"`{c}` STRING" for c in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
+        stored = spark.table(name)
+    fresh = incremental_rows(with_stored_names(rows, stored.columns), stored, column, kind)
+    aligned = fresh.select(
+        *[F.col(f"`{c}`") if c in fresh.columns else F.lit(None).cast("string").alias(c) for c in widened]
+    )
+    source_sort(aligned, sort or (column,)).write.insertInto(name)
+
+
+def append_rows(rows: DataFrame, name: str) -> None:
+    """Append typed rows, creating the table on the first load."""
+    if rows.sparkSession.catalog.tableExists(name):
+        rows.select(*rows.sparkSession.table(name).columns).write.insertInto(name)
+    else:
+        rows.write.saveAsTable(name)
+
+
+def swap_in(rows: DataFrame, name: str) -> None:
+    """Write a table beside the current one, then take its name.
+
+    The rows may come from the table being replaced: nothing is read from a
+    path that is being written.
+    """
+    spark = rows.sparkSession
+    staged = f"{name}__staged"
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    rows.write.saveAsTable(staged)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+
+
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count) of several tables."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()
+    ]
+    merged = counts[0]
+    for part in counts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
+def export_parquet(spark: SparkSession, names: Sequence[str], folder: str) -> list[tuple[str, int, str]]:
+    """Write stored tables as Parquet; returns (table, rows, path), rows counted while writing."""
+    from pyspark.sql import Observation
+
+    exported = []
+    for name in names:
+        seen = Observation(f"export_{name}")
+        path = f"{folder}/{name}.parquet"
+        spark.table(name).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        exported.append((name, seen.get["rows"], path))
+    return exported
