@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.intervals import machine_status_daily_fact
 from ..plans import gold, silver
-from ..sources.tables import spread_small
+from ..sources.tables import spread_small, store_stage
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -75,7 +75,8 @@ class Mill:
     def raw_start_beam(self) -> DataFrame:
         """Every line is a plan seen in two snapshots, on its start day and a day later."""
         lot = F.col("l_partkey") % 10
-        offset = (F.col("l_suppkey") + lot * 3 + F.col("l_orderkey") % 3 * 11) % 30
+        # Six start days per machine, so that some production precedes every plan.
+        offset = (F.col("l_suppkey") * 7 + lot % 2 * 5 + F.col("l_orderkey") % 3 * 11) % 30
         start = F.date_add(F.lit("2024-01-01").cast("date"), offset.cast("int"))
         return self.table("lineitem").select(
             F.concat((F.col("l_suppkey") * 2).cast("string"), F.lit(".0")).alias("machine_no"),
@@ -215,7 +216,7 @@ class Mill:
         merged = parts[0]
         for part in parts[1:]:
             merged = merged.unionByName(part)
-        return merged.select("source_file", "sheet_name", "cell.*")
+        return store_stage(merged.select("source_file", "sheet_name", "cell.*"), "cells")
 
     # -- silver and gold ---------------------------------------------------
 
@@ -239,6 +240,10 @@ class Mill:
     def gold(self) -> LazyGold:
         return LazyGold(self)
 
+    @cached_property
+    def stored_gold(self) -> StoredGold:
+        return StoredGold(self.gold)
+
     @cached_property
     def machine_dim(self) -> DataFrame:
         status = gold.status_machines(self.slv_machine_status)
@@ -249,6 +254,30 @@ class Mill:
         return gold.date_dim(self.gold.production, self.gold.status, self.gold.plans)
 
 
+class StoredGold:
+    """The facts and plans written out once, as the pipeline stores them.
+
+    For reports that read a fact several times.
+    """
+
+    def __init__(self, lazy: LazyGold):
+        self._lazy = lazy
+
+    @cached_property
+    def plans(self) -> DataFrame:
+        return store_stage(self._lazy.plans, "plans")
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return store_stage(self._lazy.status, "status")
+
+    @cached_property
+    def production(self) -> DataFrame:
+        mill = self._lazy._mill
+        machines = gold.status_machines(mill.slv_machine_status)
+        return store_stage(gold.production_daily_fact(mill.slv_textile_days, machines, self.plans), "production")
+
+
 class LazyGold:
     """The facts and plans of a mill, each built when first asked for."""
 

@@ -148,8 +148,8 @@ _AT = "production_at_rd plan_attainment_at_rd plan_gap_at_rd plan_coverage_at_rd
        select reporting_date, {', '.join(_AT.split())}, critical_machines_at_rd from card, counts"""),
        dates="reporting_date", doubles=_AT)
 def _(m: Mill) -> DataFrame:
-    row = ms.at_reporting_date(m.gold).select("reporting_date", *_AT.split())
-    counts = ms.machine_counts_at_reporting_date(m.gold).select("critical_machines_at_rd")
+    row = ms.at_reporting_date(m.stored_gold).select("reporting_date", *_AT.split())
+    counts = ms.machine_counts_at_reporting_date(m.stored_gold).select("critical_machines_at_rd")
     merged = row.unionByName(counts, allowMissingColumns=True)
     return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
 
@@ -185,7 +185,7 @@ _HEALTH = """
 
 @query("m_factory_health", base(_HEALTH), dates="reporting_date", doubles="factory_health")
 def _(m: Mill) -> DataFrame:
-    return report.overview_cards(m.gold).select(
+    return report.overview_cards(m.stored_gold).select(
         "reporting_date", "factory_health", "factory_health_status", "factory_health_insight"
     )
 
@@ -209,12 +209,12 @@ def _(m: Mill) -> DataFrame:
 
 @query("m_telemetry_conflicts", base("select telemetry_conflicts_at_rd from counts"))
 def _(m: Mill) -> DataFrame:
-    return ms.machine_counts_at_reporting_date(m.gold).select("telemetry_conflicts_at_rd")
+    return ms.machine_counts_at_reporting_date(m.stored_gold).select("telemetry_conflicts_at_rd")
 
 
 @query("m_missing_status", base("select missing_status_at_rd from counts"))
 def _(m: Mill) -> DataFrame:
-    return ms.machine_counts_at_reporting_date(m.gold).select("missing_status_at_rd")
+    return ms.machine_counts_at_reporting_date(m.stored_gold).select("missing_status_at_rd")
 
 
 # -- series ----------------------------------------------------------------
@@ -287,25 +287,25 @@ _CARD_KINDS = dict(dates="reporting_date", doubles="factory_health production_at
 
 @query("overview_cards", base(_CARDS), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
-    return report.overview_cards(m.gold)
+    return report.overview_cards(m.stored_gold)
 
 
 @query("filter_date_range", base(_CARDS, in_range="date >= date '2024-01-05' and date < date '2024-01-18'"), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
     """All cards under the date slicer: 5 to 17 January, both included."""
-    return report.overview_cards(m.gold, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17)))
+    return report.overview_cards(m.stored_gold, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17)))
 
 
 @query("filter_machines", base(_CARDS, mine="machine is not null"), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
     """All cards with every named machine ticked, which is how the report is saved."""
-    return report.overview_cards(m.gold, ms.Selection(machines=None))
+    return report.overview_cards(m.stored_gold, ms.Selection(machines=None))
 
 
 @query("loss_hotspots", base("select machine, sum(lost) as lost_hours from told, rd where date = rd group by machine"),
        doubles="lost_hours")
 def _(m: Mill) -> DataFrame:
-    return report.loss_hotspots(m.gold)
+    return report.loss_hotspots(m.stored_gold)
 
 
 @query("plan_risk", base("""
@@ -313,4 +313,4 @@ def _(m: Mill) -> DataFrame:
        from made, rd where date = rd group by machine having sum(planned) is not null or sum(with_plan) is not null"""),
        doubles="plan_gap_mts")
 def _(m: Mill) -> DataFrame:
-    return report.plan_risk(m.gold)
+    return report.plan_risk(m.stored_gold)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import to_bigint, to_timestamp
+from ..plans import gold
 from ..plans import quality as q
 from ..sources import tables
 from .book import query
@@ -22,7 +23,9 @@ def _silver(m: Mill) -> dict[str, DataFrame]:
 
 
 def _gold(m: Mill) -> dict[str, DataFrame]:
-    return q.gold_tables(m.gold, m.date_dim, m.machine_dim)
+    facts = m.stored_gold
+    dates = gold.date_dim(facts.production, facts.status, facts.plans)
+    return q.gold_tables(facts, dates, gold.machine_dim(facts.status, facts.production, facts.plans))
 
 
 # SQL names of the same tables.

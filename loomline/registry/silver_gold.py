@@ -261,7 +261,9 @@ def _(m: Mill) -> DataFrame:
        left join plans q using (beam_plan_key)
        group by all""", doubles="production_mts planned_mts")
 def _(m: Mill) -> DataFrame:
-    joined = gold.star_join(m.gold, m.date_dim, m.machine_dim)
+    facts = m.stored_gold
+    dates = gold.date_dim(facts.production, facts.status, facts.plans)
+    joined = gold.star_join(facts, dates, gold.machine_dim(facts.status, facts.production, facts.plans))
     return joined.groupBy("year_month", "iso_day_of_week", "is_weekend", "is_in_beam_plan_dim").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count("beam_start_date").alias("planned_rows"),

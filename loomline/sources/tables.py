@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import match_columns
 from ..operators.incremental import all_string, incremental_rows, source_sort, union_frames, with_stored_names
+from ..session import ensure_checkpoint_dir
 
 
 def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -23,6 +25,18 @@ def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.repartition(cores, key or df.columns[0])
 
 
+def store_stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder and read it back.
+
+    What reads it starts from files: lost executors cost no recomputation, and
+    filters and column selections reach the scan.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def replace_table(frames: Sequence[DataFrame], name: str) -> None:
     """Replace a raw table by the union of frames, all text; the old one stays until the new is written."""
     swap_in(union_frames(frames), name)
