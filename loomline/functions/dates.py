@@ -50,11 +50,17 @@ def shutdown_bounds(day: Column) -> tuple[Column, Column]:
     return start, end
 
 
-def shutdown_overlap(start: Column, end: Column, day: Column) -> Column:
-    """Seconds of [start, end) (epoch seconds) inside the day's planned shutdown."""
-    window_start, window_end = shutdown_bounds(day)
-    overlap = F.least(end, window_end) - F.greatest(start, window_start)
-    return F.when(window_start.isNull(), F.lit(0).cast("bigint")).otherwise(F.greatest(F.lit(0), overlap))
+def shutdown_overlap(start: Column, end: Column) -> Column:
+    """Seconds of [start, end) (epoch seconds within one day) inside the planned shutdown.
+
+    Counted from the week's Monday, where the shutdown is one stretch at the
+    beginning and one at the end. 1970 began on a Thursday.
+    """
+    from_monday = F.pmod(start + 3 * DAY_SECONDS, F.lit(7 * DAY_SECONDS))
+    until = from_monday + (end - start)
+    early = F.least(until, F.lit(MONDAY_SHUTDOWN[1])) - from_monday
+    late = until - F.greatest(from_monday, F.lit(6 * DAY_SECONDS + SUNDAY_SHUTDOWN[0]))
+    return F.greatest(early, late, F.lit(0))
 
 
 def resolve_year(sheet_year: Column, sheet_month: Column, month: Column) -> Column:

@@ -100,7 +100,7 @@ def status_hours(segments: DataFrame) -> DataFrame:
     """Hours per (date, machine, status), planned shutdown taken out and summed apart."""
     start = epoch_seconds(F.col("segment_started_at"))
     end = epoch_seconds(F.col("segment_ended_at"))
-    planned = shutdown_overlap(start, end, F.col("date"))
+    planned = shutdown_overlap(start, end)
     return (
         segments.select("date", "machine", "status", (end - start).alias("secs"), planned.alias("planned"))
         .groupBy("date", "machine", "status")
@@ -130,7 +130,7 @@ def machine_status_daily_fact(events: DataFrame, bucket_seconds: int = BUCKET_SE
     bucket_day = F.date_from_unix_date(F.floor(F.col("bucket") / DAY_SECONDS).cast("int"))
 
     inner = keyed.withColumn("next_sec", F.lead("sec").over(in_bucket)).withColumn(
-        "planned", F.when(next_sec.isNotNull(), shutdown_overlap(sec, next_sec, bucket_day)).otherwise(0)
+        "planned", F.when(next_sec.isNotNull(), shutdown_overlap(sec, next_sec)).otherwise(0)
     )
     net = F.coalesce(next_sec - sec, F.lit(0)) - F.col("planned")
     summary = inner.groupBy("machine", "bucket").agg(
@@ -155,7 +155,7 @@ def machine_status_daily_fact(events: DataFrame, bucket_seconds: int = BUCKET_SE
     start = F.greatest("last_sec", day_start_seconds(F.col("date")))
     end = F.least("end_sec", day_start_seconds(F.col("date")) + DAY_SECONDS)
     parts = spread.select(
-        "*", (end - start).alias("tail"), shutdown_overlap(start, end, F.col("date")).alias("tail_planned")
+        "*", (end - start).alias("tail"), shutdown_overlap(start, end).alias("tail_planned")
     )
 
     def first_day_only(name: str) -> Column:

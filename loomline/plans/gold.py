@@ -45,7 +45,7 @@ def status_machines(events: DataFrame) -> DataFrame:
     Every machine with a usable event has at least one interval (the last event
     runs to midnight), so the hours need not be computed to know the machines.
     """
-    return events.where("machine is not null and status is not null and timestamp is not null").select("machine")
+    return events.where("status is not null").select("machine")
 
 
 def production_daily_fact(textile: DataFrame, status: DataFrame, plans: DataFrame) -> DataFrame:

@@ -247,52 +247,55 @@ class Mill:
     @cached_property
     def machine_dim(self) -> DataFrame:
         status = gold.status_machines(self.slv_machine_status)
-        return gold.machine_dim(status, self.gold.production, self.gold.plans)
+        return gold.machine_dim(status, self.gold.production, self.gold.stored_plans)
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        return gold.date_dim(self.gold.production, self.gold.status, self.gold.plans)
+        return gold.date_dim(self.gold.production, self.gold.status, self.gold.stored_plans)
 
 
-class StoredGold:
-    """The facts and plans written out once, as the pipeline stores them.
+class LazyGold:
+    """The facts and plans of a mill, each built when first asked for.
 
-    For reports that read a fact several times.
+    The plan dimension is read twice by the production fact (start days and
+    as-of match), so that fact reads it as the pipeline does: from storage.
     """
 
-    def __init__(self, lazy: LazyGold):
-        self._lazy = lazy
+    def __init__(self, mill: Mill):
+        self._mill = mill
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return machine_status_daily_fact(self._mill.slv_machine_status)
 
     @cached_property
     def plans(self) -> DataFrame:
-        return store_stage(self._lazy.plans, "plans")
+        return gold.beam_plan_dim(self._mill.slv_start_beam)
 
     @cached_property
-    def status(self) -> DataFrame:
-        return store_stage(self._lazy.status, "status")
+    def stored_plans(self) -> DataFrame:
+        return store_stage(self.plans, "plans")
 
     @cached_property
     def production(self) -> DataFrame:
-        mill = self._lazy._mill
-        machines = gold.status_machines(mill.slv_machine_status)
-        return store_stage(gold.production_daily_fact(mill.slv_textile_days, machines, self.plans), "production")
+        machines = gold.status_machines(self._mill.slv_machine_status)
+        return gold.production_daily_fact(self._mill.slv_textile_days, machines, self.stored_plans)
 
 
-class LazyGold:
-    """The facts and plans of a mill, each built when first asked for."""
+class StoredGold:
+    """The same, all from storage, for reports that read a fact several times."""
 
-    def __init__(self, mill: Mill):
-        self._mill = mill
+    def __init__(self, lazy: LazyGold):
+        self._lazy = lazy
 
-    @cached_property
-    def status(self) -> DataFrame:
-        return machine_status_daily_fact(self._mill.slv_machine_status)
+    @property
+    def plans(self) -> DataFrame:
+        return self._lazy.stored_plans
 
     @cached_property
-    def plans(self) -> DataFrame:
-        return gold.beam_plan_dim(self._mill.slv_start_beam)
+    def status(self) -> DataFrame:
+        return store_stage(self._lazy.status, "status")
 
     @cached_property
     def production(self) -> DataFrame:
-        machines = gold.status_machines(self._mill.slv_machine_status)
-        return gold.production_daily_fact(self._mill.slv_textile_days, machines, self.plans)
+        return store_stage(self._lazy.production, "production")

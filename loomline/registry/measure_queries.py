@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans import measures as ms
 from ..plans import report
+from ..plans.gold import Gold
 from .book import query
 from .inputs import Mill
 
@@ -66,12 +67,17 @@ def base(sql: str, in_range: str = "true", mine: str = "true") -> str:
     return _BASE.format(in_range=in_range, mine=mine) + sql
 
 
+def planned(m: Mill) -> Gold:
+    """Lazy facts over the stored plan dimension."""
+    return Gold(m.gold.status, m.gold.production, m.gold.stored_plans)
+
+
 # -- totals ----------------------------------------------------------------
 
 
 @query("m_total_production", "select sum(production_qty_mts) as production_mts from production_fact", doubles="production_mts")
 def _(m: Mill) -> DataFrame:
-    return ms.production_totals(m.gold).select("production_mts")
+    return ms.production_totals(planned(m)).select("production_mts")
 
 
 @query("m_status_hours", """
@@ -100,14 +106,14 @@ def _(m: Mill) -> DataFrame:
        select sum(production_qty_mts) as with_plan_mts from production_fact where beam_plan_key is not null""",
        doubles="with_plan_mts")
 def _(m: Mill) -> DataFrame:
-    return ms.production_totals(m.gold).select("with_plan_mts")
+    return ms.production_totals(planned(m)).select("with_plan_mts")
 
 
 @query("m_planned_output", """
        select sum(planned_daily_output_mts) as planned_mts from production_fact join plans using (beam_plan_key)""",
        doubles="planned_mts")
 def _(m: Mill) -> DataFrame:
-    return ms.production_totals(m.gold).select("planned_mts")
+    return ms.production_totals(planned(m)).select("planned_mts")
 
 
 @query("m_plan_performance", base("""
@@ -115,7 +121,7 @@ def _(m: Mill) -> DataFrame:
               sum(with_plan) / sum(production) as plan_coverage from made"""),
        doubles="performance plan_gap_mts plan_coverage")
 def _(m: Mill) -> DataFrame:
-    return ms.production_totals(m.gold).select("performance", "plan_gap_mts", "plan_coverage")
+    return ms.production_totals(planned(m)).select("performance", "plan_gap_mts", "plan_coverage")
 
 
 @query("m_critical_machines", base("""
@@ -159,7 +165,7 @@ _WEEK = "production_previous_7d plan_attainment_previous_7d availability_previou
 
 @query("m_previous_7d", base(f"select reporting_date, {', '.join(_WEEK.split())} from card"), dates="reporting_date", doubles=_WEEK)
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(m.gold).select("reporting_date", *_WEEK.split())
+    return ms.at_reporting_date(planned(m)).select("reporting_date", *_WEEK.split())
 
 
 _CHANGE = "production_change plan_change availability_change"
@@ -168,7 +174,7 @@ _CHANGE = "production_change plan_change availability_change"
 @query("m_change_vs_7d", base(f"select reporting_date, {', '.join(_CHANGE.split())} from card"), dates="reporting_date",
        doubles=_CHANGE)
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(m.gold).select("reporting_date", *_CHANGE.split())
+    return ms.at_reporting_date(planned(m)).select("reporting_date", *_CHANGE.split())
 
 
 _HEALTH = """
@@ -196,7 +202,7 @@ def _(m: Mill) -> DataFrame:
               case when plan_change > 0 then '#2FA66A' when plan_change < 0 then '#E63946' else '#667085' end as plan_color
        from card"""))
 def _(m: Mill) -> DataFrame:
-    row = ms.at_reporting_date(m.gold)
+    row = ms.at_reporting_date(planned(m))
     return row.select(*[ms.change_color(F.col(f"{c}_change")).alias(f"{c}_color") for c in ("production", "availability", "plan")])
 
 
@@ -204,7 +210,7 @@ def _(m: Mill) -> DataFrame:
        select coalesce(printf('%.1f%%', round(plan_coverage_at_rd * 100, 1)) || ' of output covered', 'NO MATCHED PLAN COVERAGE')
                 as plan_coverage_label from card"""))
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(m.gold).select(ms.coverage_label(F.col("plan_coverage_at_rd")).alias("plan_coverage_label"))
+    return ms.at_reporting_date(planned(m)).select(ms.coverage_label(F.col("plan_coverage_at_rd")).alias("plan_coverage_label"))
 
 
 @query("m_telemetry_conflicts", base("select telemetry_conflicts_at_rd from counts"))
@@ -224,7 +230,7 @@ def _(m: Mill) -> DataFrame:
        select date, sum(production) as production_mts from made, rd where date <= rd group by date"""),
        dates="date", doubles="production_mts")
 def _(m: Mill) -> DataFrame:
-    return ms.production_through_reporting_date(m.gold)
+    return ms.production_through_reporting_date(planned(m))
 
 
 def _pulse_sql(in_range: str = "true", mine: str = "true") -> str:
@@ -248,23 +254,23 @@ def _availability_sql() -> str:
 
 @query("m_production_7d_avg", f"select date, production_7d_average from ({_pulse_sql()})", dates="date", doubles="production_7d_average")
 def _(m: Mill) -> DataFrame:
-    return ms.production_7d_average(m.gold)
+    return ms.production_7d_average(planned(m))
 
 
 @query("m_availability_7d_avg", f"select date, availability_7d_average from ({_availability_sql()})", dates="date",
        doubles="availability_7d_average")
 def _(m: Mill) -> DataFrame:
-    return ms.availability_7d_average(m.gold)
+    return ms.availability_7d_average(planned(m))
 
 
 @query("production_pulse", _pulse_sql(), dates="date", doubles="production_mts production_7d_average")
 def _(m: Mill) -> DataFrame:
-    return report.production_pulse(m.gold)
+    return report.production_pulse(planned(m))
 
 
 @query("availability_pulse", _availability_sql(), dates="date", doubles="availability availability_7d_average")
 def _(m: Mill) -> DataFrame:
-    return report.availability_pulse(m.gold)
+    return report.availability_pulse(planned(m))
 
 
 # -- visuals ---------------------------------------------------------------

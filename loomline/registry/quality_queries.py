@@ -221,7 +221,8 @@ def _summary_sql() -> str:
 
 @query("dq_summary", _summary_sql())
 def _(m: Mill) -> DataFrame:
-    return q.summary({**_silver(m), **_gold(m)})
+    stored = {t: tables.store_stage(df, t) for t, df in _silver(m).items()}
+    return q.summary({**stored, **_gold(m)})
 
 
 @query("gold_export_counts", "\nunion all ".join(
