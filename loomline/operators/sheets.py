@@ -70,7 +70,7 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def dedup_names(headers: DataFrame) -> DataFrame:
     """Number repeated names per sheet in column order: name, name_2, name_3, ..."""
-    numbered = number_rows(headers, [*SHEET, "name"], "col_idx", "_nth_name", width=1_000)
+    numbered = number_rows(headers, [*SHEET, "name"], ["col_idx"], "_nth_name", width=1_000)
     return numbered.withColumn("name", suffixed(F.col("name"), F.col("_nth_name"))).drop("_nth_name")
 
 
@@ -104,8 +104,15 @@ def widen(cells: DataFrame, headers: DataFrame, first_row: int) -> DataFrame:
 
 
 def row_metadata(rows: DataFrame) -> DataFrame:
-    """_source_file, _sheet_name, _row_number (1-based per sheet) and _ingested_at."""
-    numbered = number_rows(rows, SHEET, "row_idx", "_row_number")
+    """_source_file, _sheet_name, _row_number (1-based per sheet) and _ingested_at.
+
+    Rows are numbered by sheet row, or by machine and date where several sheet
+    cells were folded into a row.
+    """
+    if "row_idx" in rows.columns:
+        numbered = number_rows(rows, SHEET, ["row_idx"], "_row_number")
+    else:
+        numbered = number_rows(rows, SHEET, ["prod_date"], "_row_number", stretch=F.col("machine_no"))
     return numbered.withColumnsRenamed({"source_file": "_source_file", "sheet_name": "_sheet_name"}).withColumn(
         "_ingested_at", F.current_timestamp()
     )

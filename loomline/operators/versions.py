@@ -39,14 +39,19 @@ def latest_version(plans: DataFrame) -> DataFrame:
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], position: str, name: str, width: int = 10_000) -> DataFrame:
-    """1-based number of each row within ``keys`` by a unique integer ``position``.
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, stretch: Column | None = None, width: int = 10_000
+) -> DataFrame:
+    """1-based number of each row within ``keys`` under a unique ``order``.
 
-    Same as row_number over the keys, but a group is cut into stretches of
-    ``width`` positions: rows are numbered inside a stretch and the counts of
-    earlier stretches are added, so one huge sheet is spread over many tasks.
+    Same as row_number over the keys, but a group is cut into stretches: rows are
+    numbered inside a stretch and the counts of earlier stretches are added, so
+    one huge sheet is spread over many tasks. By default a stretch is ``width``
+    positions of a single integer order column; any expression that grows with
+    the order will do.
     """
-    stretch = F.floor(F.col(position) / width).cast("bigint")
+    if stretch is None:
+        stretch = F.floor(F.col(order[0]) / width).cast("bigint")
     cut = df.withColumn("_stretch", stretch)
     before = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -54,7 +59,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], position: str, name: str, wi
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*keys, "_stretch", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy(*keys, "_stretch").orderBy(position)
+    inside = Window.partitionBy(*keys, "_stretch").orderBy(*order)
     return (
         cut.withColumn("_nth", F.row_number().over(inside))
         .join(offsets, [*keys, "_stretch"])

@@ -11,7 +11,6 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import APPEND, COMPLETE_BEAM, MACHINE_STATUS, START_BEAM, TEXTILE_DAYS, RawSource
 from ..operators import incremental as inc
@@ -44,11 +43,7 @@ def parse_run_date(key: str | None) -> dt.date:
 def ingest_workbooks(spark: SparkSession, paths: Sequence[str], source: RawSource) -> None:
     """Cells of the given workbooks -> the source's raw table."""
     cells = tables.store_stage(read_cells(spark, list(paths)), "cells")
-    numbered = source.extract(cells)
-    if "row_idx" not in numbered.columns:
-        # Extracted rows that no longer have a sheet row are numbered in key order.
-        numbered = numbered.withColumn("row_idx", F.monotonically_increasing_id())
-    rows = row_metadata(numbered).drop("row_idx")
+    rows = row_metadata(source.extract(cells)).drop("row_idx")
     if source.strategy == APPEND:
         tables.append_table(rows, source.table, source.incremental_column, source.incremental_kind, source.sort)
     else:

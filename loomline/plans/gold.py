@@ -129,13 +129,21 @@ def build(events: DataFrame, textile: DataFrame, start_beam: DataFrame) -> Gold:
     )
 
 
+def with_plan_columns(production: DataFrame, plans: DataFrame, *columns: str) -> DataFrame:
+    """Add columns of each row's plan, NULL for rows without one.
+
+    Rows without a plan would all hash to one partition; each gets a key of its
+    own that no plan has, so they stay spread out.
+    """
+    no_plan = F.concat_ws("|", F.lit("\x00"), "machine", "lot", F.col("date").cast("string"))
+    keyed = production.withColumn("_plan", F.coalesce("beam_plan_key", no_plan))
+    wanted = plans.select(F.col("beam_plan_key").alias("_plan"), *columns)
+    return keyed.join(wanted, "_plan", "left").drop("_plan")
+
+
 def star_join(gold: Gold, dates: DataFrame, machines: DataFrame) -> DataFrame:
     """Production with its calendar, machine and plan attributes."""
     calendar = dates.select("date", "year_month", "iso_day_of_week", "is_weekend")
     flags = machines.select("machine", "is_in_beam_plan_dim")
-    planned = gold.plans.select("beam_plan_key", "planned_daily_output_mts", "beam_start_date")
-    return (
-        gold.production.join(calendar, "date")
-        .join(flags, "machine")
-        .join(planned, "beam_plan_key", "left")
-    )
+    planned = with_plan_columns(gold.production, gold.plans, "planned_daily_output_mts", "beam_start_date")
+    return planned.join(calendar, "date").join(flags, "machine")

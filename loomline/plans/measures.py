@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .gold import Gold
+from .gold import Gold, with_plan_columns
 
 # Thresholds, weights, labels and colours shown on the report.
 CRITICAL_BELOW = 0.75
@@ -61,8 +61,7 @@ def has_plan() -> Column:
 
 
 def _with_planned_output(gold: Gold) -> DataFrame:
-    planned = gold.plans.select("beam_plan_key", "planned_daily_output_mts")
-    return gold.production.join(planned, "beam_plan_key", "left")
+    return with_plan_columns(gold.production, gold.plans, "planned_daily_output_mts")
 
 
 _PRODUCTION_SUMS = {

@@ -11,8 +11,6 @@ from ..functions import dates as dates_fn
 from ..functions import naming
 from ..operators import incremental as inc
 from ..operators import mail, sheets
-from ..operators.versions import number_rows
-from ..plans import silver
 from ..sources import database, files
 from .book import query
 from .inputs import Mill
@@ -427,10 +425,6 @@ def _(m: Mill) -> DataFrame:
     return sheets.sheet_report_date(m.cells).select("sheet_name", "report_date")
 
 
-_CELL_COUNTS = """
-       select sheet_name, count(distinct row_idx) as machine_rows from sheet_rows group by sheet_name"""
-
-
 @query("sheet_filter", """
        select sheet_name, count(*) * 4 + count(distinct row_idx) + count(distinct prod_date) * 3 + 1 as cell_count
        from sheet_rows group by sheet_name""")

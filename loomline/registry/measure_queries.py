@@ -185,7 +185,8 @@ _HEALTH = """
               else coalesce(format('{:,}', critical_machines_at_rd), '') || ' machines below 75% availability.' end
            as factory_health_insight
   from (select reporting_date, critical_machines_at_rd,
-               0.6 * least(greatest(availability_at_rd, 0), 1) + 0.4 * least(greatest(plan_attainment_at_rd, 0), 1) as h
+               case when availability_at_rd is not null and plan_attainment_at_rd is not null
+                    then 0.6 * least(greatest(availability_at_rd, 0), 1) + 0.4 * least(greatest(plan_attainment_at_rd, 0), 1) end as h
         from card, counts)"""
 
 

@@ -50,7 +50,7 @@ def test_first_per_key_is_cut_before_the_shuffle(spark):
 
 def test_number_rows_over_stretches(spark):
     df = spark.range(0, 50).select((F.col("id") % 2).alias("k"), (F.col("id") * 7).alias("pos"))
-    got = versions.number_rows(df, ["k"], "pos", "n", width=40).collect()
+    got = versions.number_rows(df, ["k"], ["pos"], "n", width=40).collect()
     for k in (0, 1):
         rows = sorted((r["pos"], r["n"]) for r in got if r["k"] == k)
         assert [n for _, n in rows] == list(range(1, 26))
