@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import lines
+from . import line_quality, lines
 from .common import table
 
 QUERIES = {
+    "op9_line_frequency": lambda spark, sf_dir: line_quality.digest(table(spark, sf_dir, "documents")),
     "op10_line_dedup": lambda spark, sf_dir: lines.digest(table(spark, sf_dir, "documents")),
 }
 
 SQL = {
+    "op9_line_frequency": line_quality.SQL,
     "op10_line_dedup": lines.SQL,
 }
