@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_quality, lines, simhash_tree
+from . import line_quality, lines, mixing, simhash_tree
 from .common import table
 
 QUERIES = {
+    "op2_source_mix": lambda spark, sf_dir: mixing.digest(table(spark, sf_dir, "documents")),
     "op3_simhash_tree": lambda spark, sf_dir: simhash_tree.digest(table(spark, sf_dir, "documents")),
     "op9_line_frequency": lambda spark, sf_dir: line_quality.digest(table(spark, sf_dir, "documents")),
     "op10_line_dedup": lambda spark, sf_dir: lines.digest(table(spark, sf_dir, "documents")),
