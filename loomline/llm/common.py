@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import store_stage
+
 #: White space of the word rule: space and the five ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
+#: Mean rows of a bucket in which rows are ordered.
+BUCKET_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,3 +46,27 @@ def text_or_empty(column: str = "text") -> Column:
 
 def squash(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
+
+
+def running_start(df: DataFrame, group: str, size: str, order: tuple[str, ...]) -> DataFrame:
+    """``df`` with ``_start``: the sum of ``size`` over the rows before it in its group.
+
+    The order within a group is (bucket, order columns), buckets being hash buckets of a fixed mean size. A place is the sum of the buckets before and of
+    the rows before in the bucket, so a group may hold any share of all rows. Buckets themselves are summed in two steps.
+    """
+    buckets = max(1, df.count() // BUCKET_ROWS)
+    stretch = max(1, int(buckets**0.5))
+    placed = df.withColumn("_bucket", F.pmod(F.xxhash64(group, *order), F.lit(buckets)))
+    sums = placed.groupBy(group, "_bucket").agg(F.sum(size).alias("_sum")).withColumn("_stretch", F.floor(F.col("_bucket") / stretch))
+    sums = store_stage(sums, "buckets")
+
+    def before(frame: DataFrame, keys: tuple[str, ...], by: tuple[str, ...], column: str, name: str) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumn(name, F.coalesce(F.sum(column).over(window), F.lit(0)))
+
+    wide = before(sums.groupBy(group, "_stretch").agg(F.sum("_sum").alias("_sum")), (group,), ("_stretch",), "_sum", "_base").drop("_sum")
+    bases = before(sums, (group, "_stretch"), ("_bucket",), "_sum", "_before").join(wide, [group, "_stretch"]).select(
+        group, "_bucket", (F.col("_base") + F.col("_before")).alias("_base")
+    )
+    inner = before(placed, (group, "_bucket"), order, size, "_before")
+    return inner.join(bases, [group, "_bucket"]).withColumn("_start", F.col("_base") + F.col("_before")).drop("_base", "_before", "_bucket")

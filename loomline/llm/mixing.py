@@ -24,15 +24,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 from pyspark.sql import types as T
 
 from ..sources.tables import store_stage
-from .common import unclash
+from .common import running_start, unclash
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Mean rows of a layout bucket; mean slots of an output shard.
-BUCKET_ROWS = 256
+#: Mean slots of an output shard.
 SHARD_SLOTS = 1024
 
 
@@ -149,28 +147,6 @@ def shard_counts(totals: np.ndarray, shard: int, shards: int, seed: int) -> tupl
     return first, counts
 
 
-def layout(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_size`` and ``_source`` gets ``_start``: words of its source before it."""
-    spark = docs.sparkSession
-    buckets = max(1, docs.count() // BUCKET_ROWS)
-    placed = docs.withColumn("_bucket", F.pmod(F.xxhash64("_source", "_doc", "_row"), F.lit(buckets)))
-    sums = placed.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_sum"))
-    # Buckets are summed in two steps, so that no window holds all buckets of a large source.
-    stretch = max(1, int(buckets**0.5))
-    sums = store_stage(sums.withColumn("_stretch", F.floor(F.col("_bucket") / stretch)), "buckets")
-    wide = sums.groupBy("_source", "_stretch").agg(F.sum("_sum").alias("_sum"))
-    running = Window.partitionBy("_source").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    wide = wide.select("_source", "_stretch", F.coalesce(F.sum("_sum").over(running), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy("_source", "_stretch").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(inner), F.lit(0))).join(wide, ["_source", "_stretch"]).select(
-        "_source", "_bucket", (F.col("_base") + F.col("_before")).alias("_base")
-    )
-    own = Window.partitionBy("_source", "_bucket").orderBy("_doc", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("_before", F.coalesce(F.sum("_size").over(own), F.lit(0))).join(bases, ["_source", "_bucket"]).withColumn(
-        "_start", F.col("_base") + F.col("_before")
-    ).drop("_base", "_before", "_bucket")
-
-
 def slots(spark, planned: list[Share], block: int, seed: int) -> DataFrame:
     """(_source, _block, _epoch, _shard, _cut): one row per slot; ``_cut`` words of the block are used."""
     totals = np.array([s.slots for s in planned], np.int64)
@@ -215,7 +191,7 @@ def mix(docs: DataFrame, block: int = 64, weights=WEIGHTS, most: float = 3.0, se
     )
     # One row per source, and the plan is on the driver already: small enough to broadcast.
     known = sized.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
-    laid = store_stage(layout(known), "laid")
+    laid = store_stage(running_start(known, "_source", "_size", ("_doc", "_row")), "laid")
     spans = laid.where(F.col("_size") > 0).select(
         "_source", "_start", "_size",
         F.explode(F.sequence(F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.col("_size") - 1) / block))).alias("_block"),
