@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import line_quality, lines, mixing, packing, simhash_tree
+from . import cross_parse, line_quality, lines, mixing, packing, simhash_tree
 from .common import table
 
 QUERIES = {
+    "op8_cross_parsing": lambda spark, sf_dir: cross_parse.digest(table(spark, sf_dir, "documents")),
     "op4_best_two_fit": lambda spark, sf_dir: packing.digest(table(spark, sf_dir, "documents")),
     "op2_source_mix": lambda spark, sf_dir: mixing.digest(table(spark, sf_dir, "documents")),
     "op3_simhash_tree": lambda spark, sf_dir: simhash_tree.digest(table(spark, sf_dir, "documents")),
