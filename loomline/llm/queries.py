@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cross_parse, line_quality, lines, mixing, packing, simhash_tree, toxicity
+from . import cross_parse, line_quality, lines, mixing, packing, rule_ensemble, simhash_tree, toxicity
 from .common import table
 
 QUERIES = {
+    "op5_rule_ensemble": lambda spark, sf_dir: rule_ensemble.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op7_kneser_ney_toxicity": lambda spark, sf_dir: toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op8_cross_parsing": lambda spark, sf_dir: cross_parse.digest(table(spark, sf_dir, "documents")),
     "op4_best_two_fit": lambda spark, sf_dir: packing.digest(table(spark, sf_dir, "documents")),
