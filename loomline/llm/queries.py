@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cross_parse, line_quality, lines, mixing, packing, rule_ensemble, simhash_tree, toxicity
+from . import cross_parse, line_quality, lines, mixing, packing, rule_ensemble, simhash_tree, toxicity, voronoi_topk
 from .common import table
 
 QUERIES = {
+    "op6_voronoi_topk": lambda spark, sf_dir: voronoi_topk.digest(table(spark, sf_dir, "embeddings")),
     "op5_rule_ensemble": lambda spark, sf_dir: rule_ensemble.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op7_kneser_ney_toxicity": lambda spark, sf_dir: toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op8_cross_parsing": lambda spark, sf_dir: cross_parse.digest(table(spark, sf_dir, "documents")),
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op6_voronoi_topk": voronoi_topk.SQL,
     "op9_line_frequency": line_quality.SQL,
     "op10_line_dedup": lines.SQL,
 }
