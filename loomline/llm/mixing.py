@@ -17,6 +17,7 @@ table, or one without words, takes nothing. Further columns pass through; made c
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,7 @@ from ..sources.tables import store_stage
 from .common import running_start, unclash
 
 WEIGHTS = (5.0, 2.0, 1.0)
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Mean slots of an output shard.
 SHARD_SLOTS = 1024
 
@@ -208,6 +210,36 @@ def mix(docs: DataFrame, block: int = 64, weights=WEIGHTS, most: float = 3.0, se
     return laid, taken, planned
 
 
+def mixed_texts(docs: DataFrame, block: int = 512, weights=WEIGHTS, most: float = 3.0, seed: int = 17) -> DataFrame:
+    """The mix as rows like ``docs``: one per document, pass and unbroken stretch of words taken in it, ``text`` cut to the stretch, ``n_chars`` its length."""
+    laid, taken, _ = mix(docs, block, weights, most, seed)
+    stretches = taken.groupBy("_source", "_start", "_epoch").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        made = []
+        for text, own in zip(texts, spans):
+            joined: list[list[int]] = []
+            for span in own:
+                if joined and joined[-1][1] == span["_from"]:
+                    joined[-1][1] = span["_to"]
+                else:
+                    joined.append([span["_from"], span["_to"]])
+            places = [m.span() for m in WORD.finditer(text)]
+            whole = [0, len(places)]
+            made.append([text if s == whole else text[places[s[0]][0]:places[s[1] - 1][1]] for s in joined])
+        return pd.Series(made, dtype=object)
+
+    plain = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    texts = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64(*plain).alias("_row"), F.col("text").alias("_text")).where(
+        F.col("_text").isNotNull()
+    ).dropDuplicates(["_doc", "_row"])
+    rows = laid.join(stretches, ["_source", "_start"]).where(F.col("_size") > 0)
+    rows = rows.join(texts, rows["_doc"].eqNullSafe(texts["_doc"]) & (rows["_row"] == texts["_row"])).withColumn("_cut", F.explode(cut("_text", "_spans")))
+    made = {"text": F.col("_cut"), "n_chars": F.length("_cut").cast("long")}
+    return rows.select(*[made.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def digest(docs: DataFrame, block: int = 64) -> DataFrame:
     """Words taken per document."""
     laid, taken, planned = mix(docs.select("doc_id", "text", "source"), block)
