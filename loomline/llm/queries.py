@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import context_mixing, cross_parse, line_quality, lines, mixing, packing, rule_ensemble, simhash_tree, toxicity, voronoi_topk
 from .common import table
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_context_mixing": lambda spark, sf_dir: context_mixing.digest(table(spark, sf_dir, "documents")),
     "op6_voronoi_topk": lambda spark, sf_dir: voronoi_topk.digest(table(spark, sf_dir, "embeddings")),
     "op5_rule_ensemble": lambda spark, sf_dir: rule_ensemble.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
