@@ -13,9 +13,12 @@ any other. Further columns are not carried along, pieces name their document by
 from __future__ import annotations
 
 import os
+import struct
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,38 +29,87 @@ from pyspark.sql import types as T
 from ..sources.tables import store_stage
 from .common import running_start
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 PIECE = "doc_id {id}, _row long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordTokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, by a cache of words."""
+#: Marks that the tokenizer keeps together behind letters.
+MARKS = ".,;:!?#*$%&"
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(other)}
+
+
+class WordTokenizer(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes. Two generations of words are kept, so that frequent ones stay."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8", "replace").split()
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known, new = {}, list(set(words))
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                    self.known[word] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.older: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        # The short way is taken only with a tokenizer for which it agrees on a probe.
+        self.short = True
+        probe = ["été", "Straße...", "ñandú,", "ÉCOLE!!", "words###", "ﬁn", "日本語", "ǅ", "İx", "I'm", "a1"]
+        self.short = all((self.plain(w) or self.whole(w)) == self.whole(w) for w in probe)
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            text = word.decode()
+            ids = (self.plain(text) if self.short else None) or self.whole(text)
+        if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def plain(self, word: str) -> bytes | None:
+        """Ids of letters with marks behind them, without the tokenizer's normalizing steps; None if these could matter."""
+        stem = word.rstrip(MARKS)
+        if not stem.isalpha() or "Σ" in stem or not unicodedata.is_normalized("NFC", stem):
+            return None
+        low = stem.lower()
+        if not low.isalpha():
+            return None
+        return self.piece(low) + (self.piece(word[len(stem):]) if len(stem) < len(word) else b"")
+
+    def piece(self, low: str) -> bytes:
+        ids = self.stems.get(low)
+        if ids is None:
+            found = self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.letters))
+            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+            if len(self.stems) >= CACHE_WORDS:
+                self.stems = {}
+            self.stems[low] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+
+
+@lru_cache(maxsize=2)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per process, so that the tasks of a worker share its words."""
+    return WordTokenizer(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int, keep_ids: bool = False) -> DataFrame:
     """One row per piece; with ``keep_ids`` also the ids, as bytes."""
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = WordTokenizer(tokenizer)
+        encode = word_tokenizer(tokenizer).encode
         for part in parts:
             rows = []
             for doc, row, text in zip(part["doc_id"], part["_row"], part["text"]):
