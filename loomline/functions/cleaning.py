@@ -23,17 +23,18 @@ def clean_machine_no(value: Column) -> Column:
 
 
 def _loom_code(digits: Column) -> Column:
-    # lpad cuts numbers longer than three digits; the mill's ids have at most three.
-    return F.concat(F.lit("WEV"), F.lpad(digits, 3, "0"))
+    """Padded to three digits; longer numbers stay whole."""
+    return F.concat(F.lit("WEV"), F.lpad(digits, F.greatest(F.lit(3), F.length(digits)), F.lit("0")))
 
 
 def machine_of_code(code: Column, decimals: bool = True, prefixed: bool = True) -> Column:
     """``standardize_machine`` for a value that went through ``clean_code`` already."""
     plain = r"^[0-9]+(\.0)?\z" if decimals else r"^[0-9]+\z"
-    number = code.try_cast("decimal(38,0)").cast("string")
+    # Digits of any length, without the decimals and the leading zeros of a number.
+    number = F.regexp_extract(code, r"^0*([0-9]+?)(\.0)?\z", 1)
     result = F.when(code.rlike(plain), _loom_code(number))
     if prefixed:
-        result = result.when(code.rlike(r"^WEV[0-9]+\z"), _loom_code(F.substring(code, 4, 64)))
+        result = result.when(code.rlike(r"^WEV[0-9]+\z"), _loom_code(F.substr(code, F.lit(4))))
     return result.otherwise(code)
 
 

@@ -43,7 +43,7 @@ def _(m: Mill) -> DataFrame:
 
 @query("standardize_machine", """
        select id, machine_id,
-              'WEV' || lpad(regexp_extract(machine_id, '[0-9]+'), 3, '0') as machine
+              'WEV' || lpad(regexp_extract(machine_id, '[0-9]+'), cast(greatest(3, length(regexp_extract(machine_id, '[0-9]+'))) as integer), '0') as machine
        from raw_machine_status""")
 def _(m: Mill) -> DataFrame:
     return m.raw_machine_status.select(
@@ -52,7 +52,7 @@ def _(m: Mill) -> DataFrame:
 
 
 @query("standardize_machine_decimal", """
-       select machine_no, 'WEV' || lpad(split_part(machine_no, '.', 1), 3, '0') as machine, count(*) as row_count
+       select machine_no, 'WEV' || lpad(split_part(machine_no, '.', 1), cast(greatest(3, length(split_part(machine_no, '.', 1))) as integer), '0') as machine, count(*) as row_count
        from raw_start_beam group by all""")
 def _(m: Mill) -> DataFrame:
     machine = cleaning.standardize_machine(F.col("machine_no"), prefixed=False).alias("machine")
@@ -165,7 +165,7 @@ def _(m: Mill) -> DataFrame:
 
 
 @query("planned_shutdown_window", """
-       select distinct date, off_start as planned_shutdown_started_at, off_end as planned_shutdown_ended_at from shutdowns""",
+       select distinct date, off_start as planned_shutdown_started_at, off_end as planned_shutdown_ended_at from rest_days""",
        dates="date", stamps="planned_shutdown_started_at planned_shutdown_ended_at")
 def _(m: Mill) -> DataFrame:
     segments = intervals.split_by_day(intervals.status_intervals(m.slv_machine_status))

@@ -15,7 +15,14 @@ def values(spark, column, inputs, kind="string"):
 def test_standardize_machine(spark):
     raw = [None, "", " 7 ", "wev7", "WEV0012", "1234", "m-3", "100.0", "abc", "0007", "7\n"]
     got = values(spark, cleaning.standardize_machine, raw)
-    assert got == [None, None, "WEV007", "WEV007", "WEV001", "WEV123", "M-3", "WEV100", "ABC", "WEV007", "7\n"]
+    assert got == [None, None, "WEV007", "WEV007", "WEV0012", "WEV1234", "M-3", "WEV100", "ABC", "WEV007", "7\n"]
+
+
+def test_long_machine_ids_stay_whole(spark):
+    raw = ["1000", "1001.0", "wev12345", "0007", "000", "9" * 45, "m-1234", "WEV" + "8" * 70]
+    assert values(spark, cleaning.standardize_machine, raw) == [
+        "WEV1000", "WEV1001", "WEV12345", "WEV007", "WEV000", "WEV" + "9" * 45, "M-1234", "WEV" + "8" * 70
+    ]
 
 
 def test_standardize_machine_variants(spark):
