@@ -41,7 +41,8 @@ def parse_run_date(key: str | None) -> dt.date:
 
 
 def ingest_workbooks(spark: SparkSession, paths: Sequence[str], source: RawSource) -> None:
-    """Cells of the given workbooks -> the source's raw table."""
+    """Cells of the given workbooks -> the source's raw table. Old binary workbooks cannot be read: they are an error, never left out."""
+    files.refuse_binary(paths)
     cells = tables.store_stage(read_cells(spark, list(paths)), "cells")
     rows = row_metadata(source.extract(cells)).drop("row_idx")
     if source.strategy == APPEND:
@@ -52,14 +53,14 @@ def ingest_workbooks(spark: SparkSession, paths: Sequence[str], source: RawSourc
 
 def ingest_folder(spark: SparkSession, folder: str, source: RawSource) -> bool:
     """All workbooks of a folder that match the source's pattern; False when there are none."""
-    names = files.list_files(spark, folder, f"{source.pattern}.xlsx").select("path").collect()
+    names = files.list_files(spark, folder, f"{source.pattern}.[xX][lL][sS]*").select("path").collect()
     if names:
         ingest_workbooks(spark, [r["path"] for r in names], source)
     return bool(names)
 
 
 def ingest_status(events: DataFrame) -> None:
-    """Status events (see ``sources.database``) above the stored id."""
+    """Status events (see ``sources.database``) above the stored id; the source filters by it."""
     tables.append_table(
         events, MACHINE_STATUS.table, MACHINE_STATUS.incremental_column, MACHINE_STATUS.incremental_kind, MACHINE_STATUS.sort
     )
@@ -103,6 +104,7 @@ def prepare_start_beam(spark: SparkSession, day: dt.date, name: str = "slv_start
     Returns 'incremental' when older snapshots remain. Without any the table is
     dropped and the day becomes the full baseline.
     """
+    tables.recover(spark, name)
     if not spark.catalog.tableExists(name):
         return "baseline"
     stored = spark.table(name)

@@ -47,12 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and stage tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only when that is unset
-    (local tests) a scratch folder is made and set.
+    (local tests) a scratch folder is made and set; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         folder = tempfile.mkdtemp(prefix="loomline-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

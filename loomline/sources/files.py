@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ def workbooks(files: DataFrame) -> DataFrame:
     return files.where(F.col("filename").rlike(_WORKBOOK) & ~F.col("filename").startswith("~$"))
 
 
+def refuse_binary(paths: Iterable[str]) -> None:
+    """Only the zipped workbook format is read; a file in the old one stops the load by name."""
+    old = sorted(p for p in paths if p.lower().endswith(".xls"))
+    if old:
+        raise ValueError(f"Cannot read binary workbooks, save them as .xlsx: {', '.join(old)}")
+
+
 def snapshots(files: DataFrame) -> DataFrame:
     """Dated start-beam snapshots: snapshot_date, filename, path."""
     date = F.nullif(F.regexp_extract("filename", _SNAPSHOT, 1), F.lit("")).try_cast("date")

@@ -7,24 +7,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.naming import match_columns
-from ..operators.incremental import all_string, incremental_rows, source_sort, union_frames, with_stored_names
+from ..operators.incremental import all_string, column_named, highwater_mark, incremental_rows, source_sort, union_frames, with_stored_names
 from ..session import ensure_checkpoint_dir
 
 
-def spread_small(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Spread an input of fewer splits than cores over all cores.
-
-    A single small file would otherwise be cleaned and pre-aggregated by one
-    task. Inputs with enough splits, as any large table has, stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key or df.columns[0])
-
-
 def store_stage(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared checkpoint folder and read it back.
 
@@ -42,6 +31,19 @@ def replace_table(frames: Sequence[DataFrame], name: str) -> None:
     swap_in(union_frames(frames), name)
 
 
+def above_mark(source: DataFrame, stored: DataFrame, column: str, kind: str) -> DataFrame:
+    """Source rows above the largest stored key.
+
+    A source column of whole numbers is compared as it is with the known mark, a filter that JDBC and Parquet sources take over; text is parsed row by row.
+    """
+    column_named(source, column)  # an error if it is missing
+    name = next(c for c in source.columns if c.lower() == column.lower())
+    if not isinstance(source.schema[name].dataType, T.IntegralType):
+        return incremental_rows(source, stored, column, kind)
+    mark = highwater_mark(stored, column, kind).first()["latest"]
+    return source if mark is None else source.where(F.col(f"`{name}`") > F.lit(mark))
+
+
 def append_table(source: DataFrame, name: str, column: str, kind: str, sort: Sequence[str] = ()) -> None:
     """Append source rows above the stored mark; the first load stores everything.
 
@@ -59,7 +61,8 @@ def append_table(source: DataFrame, name: str, column: str, kind: str, sort: Seq
         spec = ", ".join(f"`{c}` STRING" for c in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
         stored = spark.table(name)
-    fresh = incremental_rows(with_stored_names(rows, stored.columns), stored, column, kind)
+    fresh = above_mark(source, stored, column, kind)
+    fresh = with_stored_names(all_string(fresh), stored.columns)
     aligned = fresh.select(
         *[F.col(f"`{c}`") if c in fresh.columns else F.lit(None).cast("string").alias(c) for c in widened]
     )
@@ -74,18 +77,29 @@ def append_rows(rows: DataFrame, name: str) -> None:
         rows.write.saveAsTable(name)
 
 
+def recover(spark: SparkSession, name: str) -> None:
+    """Finish a swap that was cut off between dropping a table and renaming the one that was to take its place."""
+    staged = f"{name}__staged"
+    if spark.catalog.tableExists(staged) and not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+
+
 def swap_in(rows: DataFrame, name: str) -> None:
     """Write a table beside the current one, then take its name.
 
-    The rows may come from the table being replaced: nothing is read from a
-    path that is being written.
+    The rows may come from the table being replaced: nothing is read from a path that is being written. A staged table is only ever dropped while the
+    current one is there (see ``recover``).
     """
     spark = rows.sparkSession
+    recover(spark, name)
     staged = f"{name}__staged"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    rows.write.saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        rows.write.saveAsTable(staged)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    else:
+        rows.write.saveAsTable(name)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -42,6 +42,44 @@ def test_replace_reads_its_own_table(catalog):
     assert [tuple(r) for r in spark.table("raw_r").collect()] == [("1", "a")]
 
 
+def test_a_swap_that_was_cut_off_is_finished(catalog):
+    spark = catalog
+    spark.range(3).write.saveAsTable("slv_start_beam__staged")  # the old table was dropped, the new one not renamed yet
+    tables.swap_in(spark.table("slv_start_beam__staged").where("id > 0"), "other")
+    tables.recover(spark, "slv_start_beam")
+    assert spark.table("slv_start_beam").count() == 3 and not spark.catalog.tableExists("slv_start_beam__staged")
+    spark.range(9).write.saveAsTable("slv_start_beam__staged")  # cut off before the drop: the current table counts
+    tables.swap_in(spark.table("slv_start_beam").where("id = 2"), "slv_start_beam")
+    assert [r["id"] for r in spark.table("slv_start_beam").collect()] == [2]
+
+
+def test_the_stored_id_reaches_the_scan(catalog, tmp_path, capsys):
+    spark = catalog
+    spark.range(10).selectExpr("id", "'m' as machine_id").write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    tables.append_table(source.where("id < 7"), "raw_machine_status", "id", "bigint")
+    tables.above_mark(source, spark.table("raw_machine_status"), "id", "bigint").explain("formatted")
+    assert "GreaterThan(id,6)" in capsys.readouterr().out
+    daily.ingest_status(source)
+    assert sorted(int(r["id"]) for r in spark.table("raw_machine_status").collect()) == list(range(10))
+
+
+def test_binary_workbooks_are_refused_by_name(spark, tmp_path):
+    (tmp_path / "2026_complete_beam.xls").write_bytes(b"x")
+    with pytest.raises(ValueError, match="complete_beam.xls"):
+        daily.ingest_folder(spark, str(tmp_path), daily.COMPLETE_BEAM)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from loomline.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
 def test_null_keys_in_merges(spark):
     schema = "date date, machine string, lot string, shift string, worker string"
     d = dt.date(2024, 1, 1)
