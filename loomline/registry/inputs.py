@@ -14,9 +14,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.asof import keep_status_machines
 from ..operators.intervals import machine_status_daily_fact
 from ..plans import gold, silver
-from ..sources.tables import spread_small, store_stage
+from ..sources.tables import store_stage
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -36,7 +37,7 @@ class Mill:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = spread_small(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
     # -- raw ---------------------------------------------------------------
@@ -126,13 +127,13 @@ class Mill:
         return self.table("orders").select(
             F.col("o_orderkey").cast("string").alias("entry_id"),
             F.lit(1).alias("attachment_index"),
-            F.when(kind == 0, "SẢN LƯỢNG DỆT.xlsx")
-            .when(kind == 1, "호기별 상하대 일정.XLS")
-            .when(kind == 2, "Consumable SẢN LƯỢNG DỆT.xlsx")
+            F.when(kind == 0, "Überblick Stühle.xlsx")
+            .when(kind == 1, "Kettplan Woche.XLS")
+            .when(kind == 2, "Draft Überblick Stühle.xlsx")
             .when(kind == 3, "notes.pdf")
             .otherwise("report.csv")
             .alias("filename"),
-            F.when(F.col("o_custkey") % 3 == 0, "WS-2 Weaving Daily Report").otherwise("Other").alias("subject"),
+            F.when(F.col("o_custkey") % 3 == 0, "Hall 2 loom report").otherwise("Other").alias("subject"),
             F.array("o_orderpriority").alias("sender_values"),
             F.timestamp_add("MINUTE", (F.col("o_orderkey") % 1440).cast("int"), F.col("o_orderdate")).alias("received_at"),
         )
@@ -244,14 +245,19 @@ class Mill:
     def stored_gold(self) -> StoredGold:
         return StoredGold(self.gold)
 
+    @property
+    def produced(self) -> DataFrame:
+        """Dates and machines of the production fact, which flag and plan match leave as they are."""
+        return keep_status_machines(self.slv_textile_days, gold.status_machines(self.slv_machine_status)).select("date", "machine")
+
     @cached_property
     def machine_dim(self) -> DataFrame:
         status = gold.status_machines(self.slv_machine_status)
-        return gold.machine_dim(status, self.gold.production, self.gold.stored_plans)
+        return gold.machine_dim(status, self.produced, self.gold.plans)
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        return gold.date_dim(self.gold.production, self.gold.status, self.gold.stored_plans)
+        return gold.date_dim(self.produced, self.gold.status, self.gold.plans)
 
 
 class LazyGold:

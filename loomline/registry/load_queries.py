@@ -12,6 +12,7 @@ from ..functions import naming
 from ..operators import incremental as inc
 from ..operators import mail, sheets
 from ..sources import database, files
+from ..sources.tables import store_stage
 from .book import query
 from .inputs import Mill
 
@@ -140,14 +141,16 @@ def _(m: Mill) -> DataFrame:
 
 
 @query("start_beam_anti_join", f"""
-       select machine, lot, beam_no, beam_start_date, source_updated_at, daily_output_mts from slv_start_beam n
-       where not exists (
-         from slv_start_beam s where s.source_updated_at < timestamp '{HALF_WAY}' and s.machine = n.machine and s.lot = n.lot
-           and s.beam_no = n.beam_no and s.beam_start_date = n.beam_start_date and s.source_updated_at = n.source_updated_at)""",
+       with fresh as materialized (
+         select machine, lot, beam_no, beam_start_date, source_updated_at, daily_output_mts from slv_start_beam),
+       stored as (
+         select distinct machine, lot, beam_no, beam_start_date, source_updated_at from fresh
+         where source_updated_at < timestamp '{HALF_WAY}' and beam_no is not null)
+       select * from fresh anti join stored using (machine, lot, beam_no, beam_start_date, source_updated_at)""",
        dates="beam_start_date", stamps="source_updated_at", doubles="daily_output_mts")
 def _(m: Mill) -> DataFrame:
-    fresh = m.slv_start_beam.select(*inc.START_BEAM_KEY, "daily_output_mts")
-    stored = m.slv_start_beam.where(F.col("source_updated_at") < F.lit(HALF_WAY).cast("timestamp_ntz"))
+    fresh = store_stage(m.slv_start_beam.select(*inc.START_BEAM_KEY, "daily_output_mts"), "start_beam")
+    stored = fresh.where(F.col("source_updated_at") < F.lit(HALF_WAY).cast("timestamp_ntz"))
     return inc.new_keys(fresh, stored, inc.START_BEAM_KEY)
 
 
@@ -208,30 +211,30 @@ RULES = (
     mail.MailRule(
         name="weaving",
         sender="Urgent",
-        subject="ws-2 WEAVING daily report",
+        subject="hall 2 LOOM report",
         output_folder="",
         attachments=(
-            mail.AttachmentRule(("SẢN LƯỢNG DỆT",), ("Consumable",), (".xlsx", ".xls", ".xlsm"), "textile_days",
+            mail.AttachmentRule(("Überblick Stühle",), ("Draft",), (".xlsx", ".xls", ".xlsm"), "textile_days",
                                 save_mode=mail.REPLACE_LATEST),
-            mail.AttachmentRule(("호기별 상하대 일정",), ("Consumable",), (".xlsx", ".xls", ".xlsm"), "start_beam"),
+            mail.AttachmentRule(("Kettplan Woche",), ("Draft",), (".xlsx", ".xls", ".xlsm"), "start_beam"),
         ),
     ),
     mail.MailRule(name="reports", output_folder=None, save_mode=mail.DATED_ARCHIVE,
                   attachments=(mail.AttachmentRule(), )),
-    mail.MailRule(name="dyeing", enabled=False, attachments=(mail.AttachmentRule(), )),
+    mail.MailRule(name="spinning", enabled=False, attachments=(mail.AttachmentRule(), )),
 )
 
 _MATCHED = """with matched as (
-  select *, 'weaving' as rule from mail_manifest where contains(lower(sender), 'urgent') and lower(subject) = 'ws-2 weaving daily report'
+  select *, 'weaving' as rule from mail_manifest where contains(lower(sender), 'urgent') and lower(subject) = 'hall 2 loom report'
   union all select *, 'reports' from mail_manifest),
 chosen as (
   select entry_id, attachment_index, filename, received_at, rule,
-         case when rule = 'weaving' and filename like '호기별%' then 2 else 1 end as attachment_rule,
-         case when rule = 'reports' then '' when filename like '호기별%' then 'start_beam' else 'textile_days' end as dataset_name,
+         case when rule = 'weaving' and filename like 'Kettplan%' then 2 else 1 end as attachment_rule,
+         case when rule = 'reports' then '' when filename like 'Kettplan%' then 'start_beam' else 'textile_days' end as dataset_name,
          case when rule = 'reports' then 'reports' else '' end as output_folder,
-         case when rule = 'weaving' and filename not like '호기별%' then 'replace_latest' else 'dated_archive' end as save_mode
+         case when rule = 'weaving' and filename not like 'Kettplan%' then 'replace_latest' else 'dated_archive' end as save_mode
   from matched
-  where (rule = 'weaving' and filename in ('SẢN LƯỢNG DỆT.xlsx', '호기별 상하대 일정.XLS'))
+  where (rule = 'weaving' and filename in ('Überblick Stühle.xlsx', 'Kettplan Woche.XLS'))
      or (rule = 'reports' and filename <> 'notes.pdf')),
 named as (
   select *, case when dataset_name = 'textile_days' then 'textile_days.xlsx'
@@ -280,7 +283,7 @@ def _(m: Mill) -> DataFrame:
 
 
 @query("attachment_match", """
-       select filename, filename like 'SẢN LƯỢNG DỆT%' as takes_textile, filename like '호기별%' as takes_start_beam,
+       select filename, filename like 'Überblick Stühle%' as takes_textile, filename like 'Kettplan%' as takes_start_beam,
               filename <> 'notes.pdf' as takes_any, count(*) as mail_count
        from mail_manifest group by all""")
 def _(m: Mill) -> DataFrame:
