@@ -175,18 +175,30 @@ def _(m: Mill) -> DataFrame:
     return q.machine_counts(_silver(m))
 
 
-_GIVEN = ("events", "lineitem", "orders")
+# Columns of the given tables, in order.
+_GIVEN = {
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
+}
 # Spark's type names for the types of the given tables.
-_TYPES = """case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+_TYPES = """case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'FLOAT[]' then 'array<float>'
             when 'TIMESTAMP' then 'timestamp_ntz' else 'string' end"""
 
 
 def _describe_sql() -> str:
-    columns = {
-        "events": "event_id ts user_id event_type value props",
-        "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
-        "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-    }
+    columns = _GIVEN
     parts = [
         f"select '{t}' as table_name, {i} as position, '{c}' as column_name, max(typeof({c})) as data_type, count({c}) as filled_rows from {t}"
         for t, names in columns.items() for i, c in enumerate(names.split(), start=1)
