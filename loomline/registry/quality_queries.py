@@ -89,20 +89,34 @@ def _(m: Mill) -> DataFrame:
 _HOURS = "running_hours stopped_hours changeover_hours disconnected_hours planned_shutdown_hours"
 
 
-@query("dq_hours_bounds", """
-       from status_fact where least(running_hours, stopped_hours, changeover_hours, disconnected_hours, planned_shutdown_hours) < 0
+# The fact keeps its rules, so the checks are tried on a spoiled one: machines ending in 0 run a day more, those ending in 5 less than nothing, and rows of
+# machines ending in 3 rest seven hours more.
+_SPOILED = """(select * replace (running_hours + case right(machine, 1) when '0' then 24.5 when '5' then -30 else 0 end as running_hours,
+                                 planned_shutdown_hours + if(right(machine, 1) = '3', 7, 0) as planned_shutdown_hours) from status_fact)"""
+
+
+def _spoiled(m: Mill) -> DataFrame:
+    last = F.right("machine", F.lit(1))
+    return m.gold.status.withColumns({
+        "running_hours": F.col("running_hours") + F.when(last == "0", 24.5).when(last == "5", -30.0).otherwise(0.0),
+        "planned_shutdown_hours": F.col("planned_shutdown_hours") + F.when(last == "3", 7.0).otherwise(0.0),
+    })
+
+
+@query("dq_hours_bounds", f"""
+       from {_SPOILED} where least(running_hours, stopped_hours, changeover_hours, disconnected_hours, planned_shutdown_hours) < 0
        or running_hours + stopped_hours + changeover_hours + disconnected_hours + planned_shutdown_hours > 24.0001""",
        dates="date", doubles=_HOURS)
 def _(m: Mill) -> DataFrame:
-    return q.hours_out_of_bounds(m.gold.status)
+    return q.hours_out_of_bounds(_spoiled(m))
 
 
-@query("dq_shutdown_window", """
-       select date, machine, planned_shutdown_hours from status_fact
+@query("dq_shutdown_window", f"""
+       select date, machine, planned_shutdown_hours from {_SPOILED}
        where planned_shutdown_hours > case isodow(date) when 7 then 18.5001 when 1 then 6.5001 else 0.0001 end""",
        dates="date", doubles="planned_shutdown_hours")
 def _(m: Mill) -> DataFrame:
-    return q.shutdown_out_of_window(m.gold.status)
+    return q.shutdown_out_of_window(_spoiled(m))
 
 
 @query("dq_orphan_machines", "select machine from slv_textile_days except select machine from machine_dim")
