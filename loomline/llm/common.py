@@ -70,3 +70,8 @@ def running_start(df: DataFrame, group: str, size: str, order: tuple[str, ...])
     )
     inner = before(placed, (group, "_bucket"), order, size, "_before")
     return inner.join(bases, [group, "_bucket"]).withColumn("_start", F.col("_base") + F.col("_before")).drop("_base", "_before", "_bucket")
+
+
+def to_pandas(df: DataFrame):
+    """A bounded result on the driver, by way of Arrow whatever the session's settings are: rows as Python objects would take many times the memory."""
+    return df.toArrow().to_pandas()

@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..sources.tables import store_stage
-from .common import id_remainder, unclash
+from .common import id_remainder, to_pandas, unclash
 
-MAX_WORDS = 2**18
-MAX_PAIRS = 2**20
+MAX_WORDS = 2**17
+MAX_PAIRS = 2**18
 #: Words of a window; documents of an expression and of a history from which they speak for a class.
 WINDOW = 1
 LEAST = 3
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
             yield pd.DataFrame({"word": pd.Series(list(n), dtype=object), "n": pd.Series(list(n.values()), dtype="int64")})
 
     vocabulary = learned.mapInPandas(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    vocabulary = vocabulary.orderBy(F.desc("n"), "word").limit(MAX_WORDS - 1).select("word").toPandas()["word"]
+    vocabulary = to_pandas(vocabulary.orderBy(F.desc("n"), "word").limit(MAX_WORDS - 1).select("word"))["word"]
     numbers = {bytes(w): k + 1 for k, w in enumerate(vocabulary)}
     size = len(numbers) + 1
     shared = spark.sparkContext.broadcast(numbers)
@@ -150,12 +150,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     def count_pairs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = shared.value.get
         for part in parts:
-            found = {0: [], 1: []}
-            for text, toxic in zip(part["text"], part["_toxic"]):
-                ids = np.fromiter((get(w, 0) for w in (b"", *words_of(text))), np.int64)
-                found[int(toxic > 0)].append(np.unique(ids[:-1] * size + ids[1:]))
-            for c, keys in found.items():
-                if keys:
+            for at in range(0, len(part), 500):
+                rows = part.iloc[at:at + 500]
+                for c, texts in rows["text"].groupby((rows["_toxic"] > 0).astype(int)):
+                    keys = []
+                    for text in texts:
+                        ids = np.fromiter((get(w, 0) for w in (b"", *words_of(text))), np.int64)
+                        keys.append(np.unique(ids[:-1] * size + ids[1:]))
                     key, n = np.unique(np.concatenate(keys), return_counts=True)
                     yield pd.DataFrame({"key": key, "n0": n * (c == 0), "n1": n * (c == 1)})
 
@@ -173,14 +174,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     v, w = F.floor(F.col("key") / size).cast("long").alias("v"), (F.col("key") % size).alias("w")
     sums = [F.sum("n0").alias("n0"), F.sum("n1").alias("n1")]
     types = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (0, 1)]
-    words = learned.mapInPandas(count_docs, "w int, n0 long, n1 long").groupBy("w").agg(*sums).toPandas()
-    after = pairs.groupBy(v).agg(*sums, *types, F.count(F.lit(1)).alias("t")).toPandas()
+    words = to_pandas(learned.mapInPandas(count_docs, "w int, n0 long, n1 long").groupBy("w").agg(*sums))
+    after = to_pandas(pairs.groupBy(v).agg(*sums, *types, F.count(F.lit(1)).alias("t")))
     kept = pairs.where((F.col("n0") + F.col("n1") >= LEAST) & (F.col("key") >= size) & (w > 0))
-    kept = kept.orderBy(F.desc(F.col("n0") + F.col("n1")), "key").limit(MAX_PAIRS).toPandas().sort_values("key")
+    kept = to_pandas(kept.orderBy(F.desc(F.col("n0") + F.col("n1")), "key").limit(MAX_PAIRS)).sort_values("key")
     pair_ratio, word_ratio, history = ratios_of(words, after, kept, size)
     word_ratio[0] = 0.0
     model = Model(numbers, kept["key"].to_numpy(np.int64), pair_ratio, word_ratio, history, empty.weights, prior)
-    probe = with_evidence(sample.where("_probe"), model).select("_toxic", "_evidence.mean", "_evidence.peak").toPandas()
+    probe = to_pandas(with_evidence(sample.where("_probe"), model).select("_toxic", "_evidence.mean", "_evidence.peak"))
     if probe["_toxic"].nunique() == 2:
         model.weights = fit_curve(probe[["mean", "peak"]].to_numpy(float), (probe["_toxic"].to_numpy() > 0).astype(float), prior)
     return model
