@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.llm import lines, mixing, packing, simhash_tree, toxicity
-from loomline.llm.common import table
+from loomline.llm.common import importable, table
 from loomline.sources.tables import store_stage
 
 #: The stages cannot be written in SQL; tests hold them against brute force.
@@ -25,6 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that five or more documents hold; the largest doc_id keeps them."""
+    importable(spark)
     done = lines.dedup_lines(docs)
     size = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return done.withColumn("n_chars", size).select(*docs.columns)
@@ -32,16 +33,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (shingles of five words, similarity 0.8)."""
+    importable(spark)
     return simhash_tree.drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents, or stretches of them, as often as the sources' target weights ask for."""
+    importable(spark)
     return mixing.mixed_texts(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
+    importable(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
