@@ -260,3 +260,41 @@ def test_word_probabilities_sum_to_one_at_most():
     length, nodes, bits = context_mixing.code_tree(np.bincount(np.frombuffer(b"hello world and some more", np.uint8), minlength=256).astype(float))
     assert abs(sum(0.5 ** n for n in length) - 1) < 1e-12
     assert len({(tuple(nodes[b, :n]), tuple(bits[b, :n])) for b, n in enumerate(length)}) == 256
+
+
+def near_pair(rng, name, size, shared):
+    """Two texts of ``2 * size - shared`` five-word shingles in all, ``shared`` of them in both."""
+    common = [f"{name}w{n}" for n in rng.permutation(10 * size)[:shared + 4]]
+    ends = [[f"{name}{side}{n}" for n in range(size - shared)] for side in "ab"]
+    return [" ".join(common + end) for end in ends]
+
+
+def test_near_copies_have_the_similarity(spark):
+    """Pairs at 0.7 to 0.79 stay, pairs at 0.8 to 0.84 lose one; shingles that repeat count once."""
+    rng, rows, lost = np.random.default_rng(5), [], set()
+    for k in range(240):
+        size = int(rng.integers(120, 300))
+        shared = next(i for i in range(size) if i / (2 * size - i) >= (0.7, 0.74, 0.78, 0.8, 0.82, 0.84)[k % 6])
+        rows += [(2 * k + j, t, "en", "s") for j, t in enumerate(near_pair(rng, f"p{k}", size, shared))]
+        if shared / (2 * size - shared) >= 0.8:
+            lost.add(2 * k + 1)
+    line = " ".join(f"again{n}" for n in range(8))
+    rows += [(1000 + k, f"{line}\n" * 200 + " ".join(f"own{k}x{n}" for n in range(60)), "en", "s") for k in range(4)]
+    kept = {r["doc_id"] for r in simhash_tree.drop_near(documents(spark, rows)).collect()}
+    gone = {i for i, *_ in rows} - kept
+    assert gone <= lost and len(gone) >= 0.97 * len(lost)
+
+
+def test_untrue_links_hide_no_true_ones(spark):
+    """Chains of texts in which some neighbours are below the similarity, against brute force; the trees have more than one shard."""
+    rng, rows = np.random.default_rng(6), []
+    for k in range(12):
+        words = [f"c{k}w{n}" for n in range(204)]
+        for j in range(8):
+            rows.append((8 * k + j, " ".join(words), "en", "s"))
+            many = int(rng.integers(8, 34))
+            words = words[many:] + [f"c{k}n{j}x{n}" for n in range(many)]
+    sets = [set(zip(*(t.split()[d:] for d in range(5)))) for _, t, *_ in rows]
+    roots = grouped(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    kept = {r["doc_id"] for r in simhash_tree.drop_near(documents(spark, rows), leaf=32).collect()}
+    assert kept == set(roots)
