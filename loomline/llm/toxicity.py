@@ -3,10 +3,11 @@
 Both classes share one vocabulary and their back-off counts: a class is the outermost history of an expression, so Kneser-Ney's continuation count of a
 word or pair is the number of classes that know it. A class model discounts its own counts and gives the rest to these shared ones, so expressions that
 are rare fall back to the same numbers and say little for a class. An expression counts once per document: a text that repeats itself is one witness.
-A text's evidence is its log-likelihood ratio per word, over the whole text and over its most toxic window; a logistic curve over both, fitted on
-labelled rows that the counts have not seen, gives the score.
+A text's evidence is its log-likelihood ratio per word, over the whole text and over its most toxic window, the latter once more by what at least ``FIRM``
+documents hold; a logistic curve over all three, fitted on labelled rows that the counts have not seen, gives the score.
 
-Fitted on a bounded sample: at most ``max_docs`` labelled documents of each class (chosen by a hash of the id, every fifth for the curve), ``MAX_WORDS`` words and ``MAX_PAIRS`` bigrams, the most frequent ones. Every text is scored whole.
+Fitted on a bounded sample: at most ``max_docs`` labelled documents of each class (chosen by a hash of the id, every fifth for the curve), and
+the ``MAX_WORDS`` most frequent words; all bigrams of these words in the sample are kept. Every text is scored whole.
 
 Defined results: null and empty texts get the score of no evidence. Labels are taken per doc_id, the largest if there are several; null labels and ids are not
 learned from. Without examples of both classes every score is the share of toxic labels (0 if there are none). Repeated rows come back as often as they
@@ -29,11 +30,10 @@ from pyspark.sql import Window
 from ..sources.tables import store_stage
 from .common import id_remainder, to_pandas, unclash
 
-MAX_WORDS = 2**17
-MAX_PAIRS = 2**18
-#: Words of a window; documents of an expression and of a history from which they speak for a class.
+MAX_WORDS = 2**18
+#: Words of a window; documents of an expression and of a history from which they count as firm.
 WINDOW = 1
-LEAST = 3
+FIRM = 3
 #: ASCII punctuation ends words; digits stay.
 WORDS = bytes(b if b >= 128 or re.match(r"\w", chr(b)) else 32 for b in range(256)).lower()
 
@@ -48,30 +48,41 @@ class Model:
 
     number: dict[bytes, int]
     pair_keys: np.ndarray  # sorted; first word * size + second
-    pair_ratio: np.ndarray  # log-likelihood ratio of kept pairs
+    pair_ratio: np.ndarray  # log-likelihood ratio of pairs
+    pair_firm: np.ndarray  # whether it is firm
     word_ratio: np.ndarray  # of words after a history without the pair
     history: np.ndarray  # log ratio of the back-off weights of a history
+    firm: np.ndarray  # whether a word, and a history, are firm
     weights: np.ndarray  # of the curve
     prior: float
 
-    def ratios(self, words: list[bytes]) -> np.ndarray:
+    def ratios(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of every word after its predecessor, and what of it is firm."""
         get = self.number.get
         ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
         before = np.concatenate(([0], ids[:-1]))
+        single, given = self.word_ratio[ids] + self.history[before], self.word_ratio[ids] * self.firm[0, ids] + self.history[before] * self.firm[1, before]
+        if not len(self.pair_keys):
+            return single, given
         keys = before * len(self.word_ratio) + ids
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), max(0, len(self.pair_keys) - 1))
-        known = self.pair_keys[at] == keys if len(self.pair_keys) else np.zeros(len(keys), bool)
-        return np.where(known, self.pair_ratio[at] if len(self.pair_keys) else 0.0, self.word_ratio[ids] + self.history[before])
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        known = self.pair_keys[at] == keys
+        pair = self.pair_ratio[at]
+        return np.where(known, pair, single), np.where(known & self.pair_firm[at], pair, given)
 
-    def evidence(self, text: str | None) -> tuple[float, float]:
-        """Mean ratio of the text and of its most toxic window."""
+    def evidence(self, text: str | None) -> tuple[float, float, float]:
+        """Mean ratio of the text and of its most toxic window, the latter also by firm ratios."""
         words = words_of(text)
         if not words:
-            return 0.0, 0.0
-        ratios = self.ratios(words)
-        sums = np.concatenate(([0.0], np.cumsum(ratios)))
+            return 0.0, 0.0, 0.0
+        ratios, firm = self.ratios(words)
         wide = min(WINDOW, len(ratios))
-        return float(ratios.mean()), float((sums[wide:] - sums[:-wide]).max() / wide)
+
+        def peak(own: np.ndarray) -> float:
+            sums = np.concatenate(([0.0], np.cumsum(own)))
+            return float((sums[wide:] - sums[:-wide]).max() / wide)
+
+        return float(ratios.mean()), peak(ratios), peak(firm)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-np.clip(np.column_stack((np.ones(len(evidence)), evidence)) @ self.weights, -30, 30)))
@@ -90,33 +101,50 @@ def fit_curve(evidence: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarr
     return w
 
 
-def ratios_of(words: pd.DataFrame, after: pd.DataFrame, pairs: pd.DataFrame, size: int, discount: float = 0.75):
-    """Log-likelihood ratios (kept pairs, single words, back-off of a history), see ``Model``.
-
-    A word's class is its outermost history, so the shared count of a word, or of a pair, is the number of classes that know it:
-    P(w | c) = (n_c(w) - D + D K_c S(w)) / N_c with S(w) the shared counts' share, and
-    P(w | v, c) = (n_c(vw) - D + D t_c(v) Q(w | v, c)) / n_c(v), where Q discounts the shared counts of pairs once more and gives the rest to P(w | c).
+def singles(words: pd.DataFrame, size: int, discount: float = 0.75) -> np.ndarray:
+    """P(w | c) of both classes. A word's class is its outermost history, so the shared count of a word is the number of classes that know it:
+    P(w | c) = (n_c(w) - D + D K_c S(w)) / N_c with S(w) the shared counts' share.
     """
     n = np.zeros((2, size))
     n[:, words["w"]] = words[["n0", "n1"]].to_numpy(float).T
     classes = (n > 0).sum(axis=0)
     total, kinds = np.maximum(1.0, n.sum(axis=1)), np.maximum(1, (n > 0).sum(axis=1))
     shared = np.maximum(classes, 0.5) / max(1, classes.sum())
-    single = (np.maximum(n - discount, 0) + discount * kinds[:, None] * shared) / total[:, None]
-    word = np.where(n.sum(axis=0) >= LEAST, np.log(single[1] / single[0]), 0.0)
+    return (np.maximum(n - discount, 0) + discount * kinds[:, None] * shared) / total[:, None]
 
-    seen, types, span = np.zeros((2, size)), np.zeros((2, size)), np.ones(size)
-    seen[:, after["v"]], types[:, after["v"]], span[after["v"]] = after[["n0", "n1"]].to_numpy(float).T, after[["t0", "t1"]].to_numpy(float).T, after["t"]
-    firm = (seen >= LEAST).all(axis=0)
-    history = np.where(firm, np.log(np.maximum(types[1], 1) / np.maximum(seen[1], 1)) - np.log(np.maximum(types[0], 1) / np.maximum(seen[0], 1)), 0.0)
 
-    key, both = pairs["key"].to_numpy(np.int64), pairs[["n0", "n1"]].to_numpy(float).T
-    first, second = key // size, key % size
-    pooled = ((both > 0).sum(axis=0) - 0.5 + 0.5 * span[first] * single[:, second]) / np.maximum(1.0, types[:, first].sum(axis=0))
-    given = (np.maximum(both - discount, 0) + discount * types[:, first] * pooled) / np.maximum(1.0, seen[:, first])
-    given = np.where(firm[first], given, 1.0)
-    pair = np.where(firm[first], np.log(given[1] / given[0]), word[second])
-    return pair, word, history
+@dataclass
+class Histories:
+    """Counts of what follows each word, by class: ``seen`` in all, ``types`` of it; ``span`` is the number of types in both."""
+
+    seen: np.ndarray
+    types: np.ndarray
+    span: np.ndarray
+
+    @staticmethod
+    def of(after: pd.DataFrame, size: int) -> Histories:
+        seen, types, span = np.zeros((2, size)), np.zeros((2, size)), np.ones(size)
+        seen[:, after["v"]], types[:, after["v"]], span[after["v"]] = after[["n0", "n1"]].to_numpy(float).T, after[["t0", "t1"]].to_numpy(float).T, after["t"]
+        return Histories(seen, types, span)
+
+    @property
+    def firm(self) -> np.ndarray:
+        return (self.seen >= FIRM).all(axis=0)
+
+    def backoff(self, discount: float = 0.75) -> np.ndarray:
+        """Weight of the shared counts after each history; a class that never saw it has nothing else."""
+        return np.where(self.seen > 0, discount * self.types / np.maximum(1.0, self.seen), 1.0)
+
+    def pair_ratios(self, pairs: pd.DataFrame, single: np.ndarray, discount: float = 0.75) -> np.ndarray:
+        """Log-likelihood ratios of pairs:
+        P(w | v, c) = (n_c(vw) - D) / n_c(v) + B_c(v) Q(w | v, c), where Q discounts the shared counts of pairs once more and gives the rest to P(w | c).
+        """
+        size = len(self.span)
+        key, both = pairs["key"].to_numpy(np.int64), pairs[["n0", "n1"]].to_numpy(float).T
+        first, second = key // size, key % size
+        pooled = ((both > 0).sum(axis=0) - 0.5 + 0.5 * self.span[first] * single[:, second]) / np.maximum(1.0, self.types[:, first].sum(axis=0))
+        given = np.maximum(both - discount, 0) / np.maximum(1.0, self.seen[:, first]) + self.backoff(discount)[:, first] * pooled
+        return np.log(given[1] / given[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_000) -> Model:
@@ -125,7 +153,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     marks = store_stage(marks, "marks")
     sizes = {r["_toxic"]: r["count"] for r in marks.groupBy("_toxic").count().collect()}
     prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    empty = Model({}, np.zeros(0, np.int64), np.zeros(0), np.zeros(1), np.zeros(1), np.array([np.log((prior + 1e-9) / (1 - prior + 1e-9)), 0.0, 0.0]), prior)
+    flat = np.array([np.log((prior + 1e-9) / (1 - prior + 1e-9)), 0.0, 0.0, 0.0])
+    empty = Model({}, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), np.zeros(1), np.zeros(1), np.zeros((2, 1), bool), flat, prior)
     if min(sizes.get(0, 0), sizes.get(1, 0)) < 5:
         return empty
     order = Window.partitionBy("_toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -176,25 +205,40 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     types = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"t{c}") for c in (0, 1)]
     words = to_pandas(learned.mapInPandas(count_docs, "w int, n0 long, n1 long").groupBy("w").agg(*sums))
     after = to_pandas(pairs.groupBy(v).agg(*sums, *types, F.count(F.lit(1)).alias("t")))
-    kept = pairs.where((F.col("n0") + F.col("n1") >= LEAST) & (F.col("key") >= size) & (w > 0))
-    kept = to_pandas(kept.orderBy(F.desc(F.col("n0") + F.col("n1")), "key").limit(MAX_PAIRS)).sort_values("key")
-    pair_ratio, word_ratio, history = ratios_of(words, after, kept, size)
+    single, histories = singles(words, size), Histories.of(after, size)
+    counted = spark.sparkContext.broadcast((single, histories))
+
+    def price(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        single, histories = counted.value
+        for part in parts:
+            firm = (part["n0"] + part["n1"] >= FIRM).to_numpy() & histories.firm[part["key"].to_numpy() // size]
+            yield pd.DataFrame({"key": part["key"], "ratio": histories.pair_ratios(part, single).astype(np.float32), "firm": firm})
+
+    # All pairs of the bounded sample, as 13 bytes each.
+    kept = pairs.where((F.col("key") >= size) & (w > 0)).mapInPandas(price, "key long, ratio float, firm boolean").toArrow()
+    keys, ratios, firm = (kept.column(c).to_numpy() for c in ("key", "ratio", "firm"))
+    order = np.argsort(keys)
+    word_ratio, (back0, back1) = np.log(single[1] / single[0]), histories.backoff()
     word_ratio[0] = 0.0
-    model = Model(numbers, kept["key"].to_numpy(np.int64), pair_ratio, word_ratio, history, empty.weights, prior)
-    probe = to_pandas(with_evidence(sample.where("_probe"), model).select("_toxic", "_evidence.mean", "_evidence.peak"))
+    often = np.zeros(size, bool)
+    often[words["w"]] = words["n0"] + words["n1"] >= FIRM
+    model = Model(
+        numbers, keys[order], ratios[order], firm[order], word_ratio, np.log(back1 / back0), np.stack((often, histories.firm)), empty.weights, prior
+    )
+    probe = to_pandas(with_evidence(sample.where("_probe"), model).select("_toxic", "_evidence.mean", "_evidence.peak", "_evidence.firm"))
     if probe["_toxic"].nunique() == 2:
-        model.weights = fit_curve(probe[["mean", "peak"]].to_numpy(float), (probe["_toxic"].to_numpy() > 0).astype(float), prior)
+        model.weights = fit_curve(probe[["mean", "peak", "firm"]].to_numpy(float), (probe["_toxic"].to_numpy() > 0).astype(float), prior)
     return model
 
 
 def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("mean double, peak double, score double")
+    @F.pandas_udf("mean double, peak double, firm double, score double")
     def measure(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            found = np.array([shared.value.evidence(t) for t in part], float).reshape(-1, 2)
-            yield pd.DataFrame({"mean": found[:, 0], "peak": found[:, 1], "score": shared.value.score(found)})
+            found = np.array([shared.value.evidence(t) for t in part], float).reshape(-1, 3)
+            yield pd.DataFrame({"mean": found[:, 0], "peak": found[:, 1], "firm": found[:, 2], "score": shared.value.score(found)})
 
     return docs.withColumn("_evidence", measure("text"))
 

@@ -298,3 +298,26 @@ def test_untrue_links_hide_no_true_ones(spark):
     roots = grouped(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
     kept = {r["doc_id"] for r in simhash_tree.drop_near(documents(spark, rows), leaf=32).collect()}
     assert kept == set(roots)
+
+
+def test_rare_toxic_expressions_speak(spark, monkeypatch):
+    """Words and pairs in fewer than three documents are smoothed, not dropped, and no number of ordinary pairs crowds a toxic one out."""
+    monkeypatch.setattr(toxicity, "MAX_PAIRS", 40, raising=False)
+    rng = np.random.default_rng(8)
+    plain = [f"w{n}" for n in range(30)]
+    rows, labels = [], []
+    for k in range(120):
+        words = list(rng.choice(plain, 40))
+        if k % 2:
+            words += ["red", "a", "blue", "b"] if k % 12 != 1 else ["red", "blue", "a", "b"]
+        else:
+            words += ["blue", "red", "a", "b"]
+        rows.append((k, " ".join(words), "en", "s"))
+        labels.append((k, k % 2))
+    rows += [(500 + k, f"w1 w2 seldom{k // 2} w3", "en", "s") for k in range(20)]
+    labels += [(500 + k, 1) for k in range(20)]
+    model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    ratios = dict(zip(("w1", "red", "blue"), model.ratios([b"w1", b"red", b"blue"])[0]))
+    assert ratios["blue"] > 1.0 and abs(model.word_ratio[model.number[b"blue"]]) < 0.5
+    met = [w for w in (b"seldom%d" % k for k in range(10)) if w in model.number]
+    assert met and all(model.ratios([b"w2", w])[0][1] > 0.3 for w in met)
