@@ -1,7 +1,7 @@
 """Exact top-k inner products by a Voronoi join.
 
 1. Vectors become integers. Pivots are drawn from a bounded sample; every row belongs to the cell of its nearest pivot (Euclidean).
-2. Summaries: a query's k-th best score is at least its k-th best score among the sample's rows; a query group keeps the smallest such bound, its largest norm
+2. Summaries: a query's k-th best score is at least its k-th best score among the sample's rows of other ids; a query group keeps the smallest such bound, its largest norm
    and its largest product with each pivot.
 3. A row x of cell j can only matter to group i if ``max q.p_j + max|q| * |x - p_j|`` (and ``max|q| * |x|``) reaches the group's bound; other groups never
    see it. Groups hold a bounded number of queries: crowded cells are split.
@@ -66,6 +66,7 @@ class Pivots:
     """Sampled rows; the first ``cells`` of them are pivots of the data, the first ``groups`` pivots of the queries."""
 
     rows: np.ndarray
+    ids: np.ndarray
     cells: int
     groups: int
 
@@ -110,9 +111,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     count, longest = rows.agg(F.count(F.lit(1)), F.max(F.length("cell"))).first()
     asked, dims = queries.count(), (longest or 0) // 8
     drawn = rows.sample(False, min(1.0, 1.2 * SAMPLE / max(1, count)), 9).limit(SAMPLE).toPandas()
-    sample = matrix(drawn["cell"], dims)[np.random.default_rng(9).permutation(len(drawn))]
+    drawn = drawn.iloc[np.random.default_rng(9).permutation(len(drawn))]
+    sample = matrix(drawn["cell"], dims)
     pivots = spark.sparkContext.broadcast(
-        Pivots(sample, min(len(sample), max(1, int(count**0.5) // 4), 256), min(len(sample), max(1, -(-asked // GROUP)), 256))
+        Pivots(sample, drawn["vec_id"].to_numpy(np.int64), min(len(sample), max(1, int(count**0.5) // 4), 256), min(len(sample), max(1, -(-asked // GROUP)), 256))
     )
 
     def summarise(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,8 +124,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
             group, _ = p.nearest(q, p.groups)
             norm = np.sqrt((q * q).sum(1))
             scores = q @ p.rows.T
-            # One of the sample's rows may be the query itself.
-            bound = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] if len(p.rows) > k else np.full(len(q), -np.inf)
+            # Any number of the sample's rows may have the query's id.
+            others = np.where(part["query_id"].to_numpy()[:, None] == p.ids[None, :], -np.inf, scores)
+            bound = np.partition(others, -k, axis=1)[:, -k] if len(p.rows) >= k else np.full(len(q), -np.inf)
             for i in np.unique(group):
                 own = group == i
                 yield pd.DataFrame({

@@ -151,6 +151,14 @@ def test_top_k(spark, monkeypatch):
     assert sorted(tuple(r) for r in voronoi_topk.digest(spark.createDataFrame(few, "vec_id long, embedding array<double>")).collect()) == brute_top(few)
 
 
+def test_top_k_of_a_hot_query_id(spark):
+    """A third of all rows have the only query's id: their products with it bound nothing."""
+    rng = np.random.default_rng(4)
+    rows = [(100, [4.0, 4.0, 4.0]) for _ in range(300)] + [(101 + k % 90, [float(x) for x in rng.normal(size=3)]) for k in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in voronoi_topk.digest(vectors).collect()) == brute_top(rows)
+
+
 def test_pipeline(spark, tmp_path):
     rng = np.random.default_rng(8)
     words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 2000, n))
