@@ -321,3 +321,10 @@ def test_rare_toxic_expressions_speak(spark, monkeypatch):
     assert ratios["blue"] > 1.0 and abs(model.word_ratio[model.number[b"blue"]]) < 0.5
     met = [w for w in (b"seldom%d" % k for k in range(10)) if w in model.number]
     assert met and all(model.ratios([b"w2", w])[0][1] > 0.3 for w in met)
+
+
+def test_slot_counts_stay_whole(spark):
+    """Single occurrences count in slots that were met 2^24 times, and the model has its six contexts."""
+    words = spark.createDataFrame([(b"ab", 2**24), (b"ac", 1), (b"ad", 1)], "word binary, n long").coalesce(1)
+    model = context_mixing.train(words)
+    assert len(model.counts) == 6 and (model.counts.real + model.counts.imag).max() >= 2**24 + 2
