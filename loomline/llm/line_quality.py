@@ -1,10 +1,12 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 Per document: counts that the base rules use, computed inside its row. Per host (``source``): lines are normalised and hashed, the distinct documents of
-each line are counted, and lines in more documents than the host's limit count as removed. A document that the base rules pass is still rejected when
-the removal depletes it. Only hashes and word counts of lines are shuffled; a host of any size is spread over its lines.
+each line are counted, and lines in more documents than the host's limit are removed from the text. A document that the base rules pass is still rejected
+when the removal depletes it. Hashes of lines are shuffled for the counts, and a host of any size is spread over its lines; a text is shuffled once,
+to meet the keys of its removed lines.
 
-Defined results: a null or empty text has no words and fails the base rules. Null sources are one host. Rows with the same doc_id are one document for
+Defined results: a null or empty text has no words and fails the base rules; it stays as it is. Lines without a word are never removed, the others leave
+with their line break, and base counts are those of the text as it came. Null sources are one host. Rows with the same doc_id are one document for
 the line counts (null ids together are one); every row gets its own verdict. Further columns pass through; columns named like the made ones are
 replaced. An empty table gives an empty table.
 """
@@ -13,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import BLANKS, NO_ID, free_name, unclash
 
@@ -58,6 +59,10 @@ def normal_line(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(BLANKS)))
 
 
+def line_key(line: Column, host: Column) -> Column:
+    return F.xxhash64(normal_line(line), host)
+
+
 def base_counts(text: Column, words: Column, lines: Column) -> dict[str, Column]:
     symbols_left = F.translate(text, SYMBOLS, "")
     return {
@@ -73,13 +78,13 @@ def judge(
     docs: DataFrame, host: str = "source", min_docs: int = 20, host_share: float = 0.01,
     min_words: int = 50, max_repeat_percent: int = 50, min_left_percent: int = 50,
 ) -> DataFrame:
-    """``docs`` with base counts, ``base_failed``, ``n_removed_words`` and ``kept``.
+    """``docs`` without the removed lines of ``text``, with base counts, ``base_failed``, ``n_removed_words`` and ``kept``.
 
     A line's limit in a host is ``max(min_docs, host_share * documents of the host)``; beyond it, the line is removed. A document is depleted when fewer than
     ``min_words`` words or under ``min_left_percent`` of its words are left.
     """
     docs = unclash(docs, MADE)
-    names = {n: free_name(docs, f"_{n}") for n in ("words", "lines", "row", "host", "doc")}
+    names = {n: free_name(docs, f"_{n}") for n in ("words", "lines", "row", "host", "doc", "gone", "left")}
     text = F.coalesce("text", F.lit(""))
     marked = docs.select(
         *[F.col(f"`{c}`") for c in docs.columns],
@@ -98,27 +103,27 @@ def judge(
     held = marked.select(
         F.col(names["doc"]).alias("_doc"), F.col(names["row"]).alias("_row"), F.col(names["host"]).alias("_host"),
         F.explode(lines).alias("_line"),
-    ).select(
-        "_doc", "_row", F.xxhash64(normal_line(F.col("_line")), F.col("_host")).alias("_key"), "_host",
-        F.size(words_of(F.col("_line"))).alias("_n"),
-    )
+    ).select("_doc", "_row", line_key(F.col("_line"), F.col("_host")).alias("_key"), "_host")
     sizes = marked.groupBy(F.col(names["host"]).alias("_host")).agg(F.count(F.lit(1)).alias("_host_docs"))
     common = (
         held.groupBy("_host", "_key").agg(F.countDistinct("_doc").alias("_docs")).where(F.col("_docs") > min_docs)
         .join(sizes, "_host").where(F.col("_docs") > F.col("_host_docs") * host_share).select("_key")
     )
-    removed = held.join(common, "_key").groupBy("_doc", "_row").agg(F.sum("_n").alias("_removed"))
+    # At most the common lines of a host per document: their number is bounded by the host's mean lines over its share.
+    removed = held.join(common, "_key").groupBy("_doc", "_row").agg(F.collect_set("_key").alias("_gone"))
 
-    # Equal rows share their sum: it is divided by their number again.
-    same = Window.partitionBy(names["doc"], names["row"])
-    out = counted.withColumn("_same", F.count(F.lit(1)).over(same)).join(
-        removed.withColumnsRenamed({"_doc": names["doc"], "_row": names["row"]}), [names["doc"], names["row"]], "left"
+    out = counted.join(
+        removed.withColumnsRenamed({"_doc": names["doc"], "_row": names["row"], "_gone": names["gone"]}), [names["doc"], names["row"]], "left"
     )
-    gone = F.coalesce((F.col("_removed") / F.col("_same")).cast("long"), F.lit(0))
+    gone = F.col(names["gone"])
+    stays = F.filter(F.split("text", "\n"), lambda x: ~x.rlike(has_word) | ~F.array_contains(gone, line_key(x, F.col(names["host"]))))
+    cleaned = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(stays, "\n"))
+    out = out.withColumn(names["left"], cleaned)
+    out = out.withColumn("n_removed_words", F.when(gone.isNull(), F.lit(0)).otherwise(F.col("n_words") - F.size(words_of(F.col(names["left"])))).cast("long"))
     left = F.col("n_words") - F.col("n_removed_words")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    return out.withColumn("n_removed_words", gone).select(
-        *[F.col(f"`{c}`") for c in docs.columns], *MADE[:5], failed.alias("base_failed"),
+    return out.select(
+        *[F.col(names["left"]).alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns], *MADE[:5], failed.alias("base_failed"),
         (~failed & (left >= min_words) & (100 * left >= min_left_percent * F.col("n_words"))).alias("kept"), "n_removed_words",
     )
 

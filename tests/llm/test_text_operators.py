@@ -328,3 +328,19 @@ def test_slot_counts_stay_whole(spark):
     words = spark.createDataFrame([(b"ab", 2**24), (b"ac", 1), (b"ad", 1)], "word binary, n long").coalesce(1)
     model = context_mixing.train(words)
     assert len(model.counts) == 6 and (model.counts.real + model.counts.imag).max() >= 2**24 + 2
+
+
+def test_lines_above_the_limit_leave_the_text(spark):
+    docs, rows = messy(spark)
+    held = defaultdict(set)
+    for i, t, _, s in rows:
+        for line in (t or "").split("\n"):
+            if line.split():
+                held[s, line.strip().lower()].add(i)
+    expected = []
+    for i, t, _, s in rows:
+        left = None if t is None else "\n".join(x for x in t.split("\n") if not x.split() or len(held[s, x.strip().lower()]) <= 1)
+        expected.append((str(i), str(left)))
+    got = line_quality.judge(docs, min_docs=1, host_share=0.0, min_words=3)
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in got.collect()) == sorted(expected)
+    assert got.columns[:5] == docs.columns and any(a != str(t) for (_, a), (_, t, *_) in zip(expected, rows))
