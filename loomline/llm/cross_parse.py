@@ -6,7 +6,8 @@ cheapest language wins. Texts are parsed whole, as UTF-8 bytes of their lower-ca
 a phrase ends where its segment ends. Segments of many texts step through an automaton together, as arrays.
 
 The automata are fitted on a bounded sample: of each language at most ``max_docs`` documents, chosen by a hash of the id, and at most ``sample_bytes`` bytes,
-taken in equal shares. Every document is scored.
+taken in equal shares from places that a hash of the id draws over the whole text. Stretches that the sample has already are left out, and what they
+leave free goes to further text of the same documents. Every document is scored.
 
 Defined results: ``und`` and score 0 for null texts, texts without a letter, or when nothing could be learned. Ties go to the smaller language by code point.
 Repeated rows come back as often as they came; further columns pass through, and the made columns replace equally named ones.
@@ -27,6 +28,10 @@ from .common import free_name, id_remainder, unclash
 SEGMENT = 512
 #: Segments that step together.
 WIDTH = 8192
+#: Bytes of the shortest stretch that counts as repeated, of the shortest one that is kept between two such, and shares drawn for each that is needed.
+REPEAT = 24
+STUB = 8
+DRAWN = 4
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -118,30 +123,66 @@ def parse(texts: list[bytes], automata: list[Automaton]) -> np.ndarray:
     return phrases
 
 
+def fresh(part: bytes, seen: set[bytes]) -> list[bytes]:
+    """The stretches of a text that are not in ``seen``, which learns them."""
+    old, at = [], 0
+    for k in range(len(part) - REPEAT + 1):
+        gram = part[k:k + REPEAT]
+        if gram in seen:
+            if old and k <= old[-1][1]:
+                old[-1][1] = k + REPEAT
+            else:
+                old.append([k, k + REPEAT])
+        seen.add(gram)
+    kept = []
+    for start, stop in (*old, [len(part), len(part)]):
+        if start - at >= STUB or not old:
+            kept.append(part[at:start])
+        at = stop
+    return kept
+
+
+def joined_sample(parts: list[bytes], share: int, sample_bytes: int) -> bytes:
+    """A language's sample: ``share`` new bytes of each part, then more of them while there is room."""
+    seen: set[bytes] = set()
+    first, spare = [], []
+    for part in parts:
+        room = share
+        for stretch in fresh(part, seen):
+            first.append(stretch[:room])
+            spare.append(stretch[room:])
+            room -= len(first[-1])
+    return b"\0".join(s for s in (*first, *spare) if s)[:sample_bytes]
+
+
 def fit(docs: DataFrame, learn: Column, max_docs: int = 400, sample_bytes: int = 49_152) -> dict[str, Automaton]:
     """Automata by language, from a bounded sample of the rows where ``learn`` holds."""
     ranked = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", "doc_id").withColumn(
         "_rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    ).where(F.col("_rank") <= max_docs)
+    ).where(F.col("_rank") <= max_docs).withColumn("_draw", F.pmod(F.xxhash64(F.lit("place"), "doc_id", F.xxhash64("text")), F.lit(2**62)))
 
     def shorten(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for lang, text, rank in zip(part["lang"], part["text"], part["_rank"]):
+            for lang, text, rank, draw in zip(part["lang"], part["text"], part["_rank"], part["_draw"]):
                 own = letters(text)
                 spare = max(0, len(own) - sample_bytes)
-                at = (int(rank) * 2654435761) % (spare + 1)
-                rows.append((lang, int(rank), own[at:at + sample_bytes]))
-            yield pd.DataFrame(rows, columns=["lang", "_rank", "_part"])
+                at = draw % (spare + 1)
+                rows.append((lang, int(rank), int(draw), own[at:at + sample_bytes]))
+            yield pd.DataFrame(rows, columns=["lang", "_rank", "_draw", "_part"])
 
-    drawn: dict[str, list[bytes]] = {}
-    shortened = ranked.mapInPandas(shorten, "lang string, _rank int, _part binary").where(F.length("_part") > 0)
+    drawn: dict[str, tuple[int, list[bytes]]] = {}
+    shortened = ranked.mapInPandas(shorten, "lang string, _rank int, _draw long, _part binary").where(F.length("_part") > 0)
     # Equal shares: the first pass learns how many documents a language has, the second sends only their share.
     many = Window.partitionBy("lang")
     share = F.greatest(F.lit(64), F.ceil(sample_bytes / F.count(F.lit(1)).over(many))).cast("int")
-    for row in shortened.withColumn("_share", share).select("lang", "_rank", F.expr("substring(_part, 1, _share)").alias("_part")).orderBy("lang", "_rank").collect():
-        drawn.setdefault(row["lang"], []).append(bytes(row["_part"]))
-    return {lang: Automaton(b"\0".join(parts)[:sample_bytes]) for lang, parts in drawn.items()}
+    wide = F.least(DRAWN * F.col("_share"), F.length("_part"))
+    # A second place is drawn within the first: together they lie anywhere in the text.
+    at = F.pmod(F.xxhash64("_draw"), F.length("_part") - wide + 1).cast("int") + 1
+    parts = shortened.withColumn("_share", share).select("lang", "_rank", "_share", F.substring("_part", at, wide).alias("_part"))
+    for row in parts.orderBy("lang", "_rank").collect():
+        drawn.setdefault(row["lang"], (row["_share"], []))[1].append(bytes(row["_part"]))
+    return {lang: Automaton(joined_sample(parts, share, sample_bytes)) for lang, (share, parts) in drawn.items()}
 
 
 def identify(docs: DataFrame, automata: dict[str, Automaton]) -> DataFrame:

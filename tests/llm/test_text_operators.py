@@ -344,3 +344,29 @@ def test_lines_above_the_limit_leave_the_text(spark):
     got = line_quality.judge(docs, min_docs=1, host_share=0.0, min_words=3)
     assert sorted((str(r["doc_id"]), str(r["text"])) for r in got.collect()) == sorted(expected)
     assert got.columns[:5] == docs.columns and any(a != str(t) for (_, a), (_, t, *_) in zip(expected, rows))
+
+
+def test_languages_behind_a_shared_opening(spark):
+    """Texts of all languages open with the same long notice, which tells nothing."""
+    rng = np.random.default_rng(12)
+    notice = " ".join(f"{w}" for w in ["all rights reserved no part of this page may be copied in any form without leave of its owners"] * 3)
+    own = {lang: ["".join(rng.choice(list(abc), 6)) for _ in range(400)] for lang, abc in (("aa", "abcdefghij"), ("bb", "klmnopqrst"), ("cc", "fghijklmno"))}
+    rows = []
+    for k in range(900):
+        lang = sorted(own)[k % 3]
+        rows.append((k, f"{notice} " + " ".join(rng.choice(own[lang], 120)), lang, "s"))
+    automata = cross_parse.fit(documents(spark, rows), F.lit(True), sample_bytes=20_000)
+    assert set(automata) == set(own)
+    probes = [(k, " ".join(rng.choice(own[lang], 40)), lang, "s") for k, lang in enumerate(sorted(own) * 20)]
+    got = cross_parse.identify(documents(spark, probes), automata).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+    sample = cross_parse.joined_sample([f"{notice} {k} ".encode() + b" ".join(w.encode() for w in own["aa"][k:k + 9]) for k in range(50)], 500, 20_000)
+    assert sample.count(b"reserved") <= 3
+
+
+def test_share_lies_anywhere_in_the_text(spark):
+    """A word that stands behind the first bytes of every text is learned."""
+    rows = [(k, "begin " * 200 + f"{chr(97 + k % 26)}late word{chr(97 + k // 26)} " * 200, "en", "s") for k in range(200)]
+    automaton = cross_parse.fit(documents(spark, rows), F.lit(True), sample_bytes=10_000)["en"]
+    text = b"late wordc"
+    assert cross_parse.parse([text], [automaton])[0, 0] <= 2
