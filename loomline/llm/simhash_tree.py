@@ -102,8 +102,11 @@ class Tree:
         return index, node
 
 
-def block_pairs(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs at most ``radius`` bits apart, by an in-memory tree with the same boundary rule."""
+def block_pairs(points: np.ndarray, radius: int, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of different labels at most ``radius`` bits apart, by an in-memory tree with the same boundary rule.
+
+    Labels may be joined on the way: what has the label of most of a block is not compared with that block, so a group that is one already costs little.
+    """
     random = np.random.default_rng(11)
     stack = [np.arange(len(points))]
     while stack:
@@ -118,17 +121,22 @@ def block_pairs(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, n
                 stack += [inner, outer]
                 continue
         for at in range(0, len(own), BLOCK):
-            near = np.bitwise_count(own[at:at + BLOCK, None] ^ own[None, at:]) <= radius
-            a, b = np.nonzero(near)
-            keep = a < b
-            if keep.any():
-                yield index[at + a[keep]], index[at + b[keep]]
+            rest = np.arange(at, len(own))
+            mine = label[index[at:at + BLOCK]]
+            kinds, many = np.unique(mine, return_counts=True)
+            most = mine == kinds[many.argmax()]
+            for rows, columns in ((rest[:BLOCK][most], rest[label[index[at:]] != kinds[many.argmax()]]), (rest[:BLOCK][~most], rest)):
+                a, b = np.nonzero(np.bitwise_count(own[rows, None] ^ own[None, columns]) <= radius)
+                a, b = rows[a], columns[b]
+                keep = (a < b) & (label[index[a]] != label[index[b]])
+                if keep.any():
+                    yield index[a[keep]], index[b[keep]]
 
 
 def spanning(points: np.ndarray, radius: int, wide: np.ndarray | None = None, most: int = 0) -> tuple[list[tuple[int, int]], np.ndarray]:
     """A spanning forest of the links within one shard and a label per tree; with ``wide`` prints a link must also be at most ``most`` bits of these long."""
     label, forest = np.arange(len(points)), []
-    for left, right in block_pairs(points, radius):
+    for left, right in block_pairs(points, radius, label):
         if wide is not None:
             near = np.bitwise_count(wide[left] ^ wide[right]).sum(axis=1) <= most
             left, right = left[near], right[near]
@@ -248,9 +256,7 @@ def shard_candidates(
         forest, label = spanning(parts, radius, wide, tight)
         a, b = np.array(forest, np.int64).reshape(-1, 2).T
         made.append((a, b, np.zeros(len(a), bool)))
-    for left, right in block_pairs(parts, radius):
-        apart = label[left] != label[right]
-        left, right = left[apart], right[apart]
+    for left, right in block_pairs(parts, radius, label):
         near = np.bitwise_count(wide[left] ^ wide[right]).sum(axis=1) <= most
         if near.any():
             made.append((left[near], right[near], np.ones(int(near.sum()), bool)))

@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -158,7 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     if min(sizes.get(0, 0), sizes.get(1, 0)) < 5:
         return empty
     order = Window.partitionBy("_toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = marks.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max_docs)
+    # A limit per class first: only max_docs ids of each meet in one task.
+    first = [marks.where(F.col("_toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs) for c in sizes]
+    drawn = reduce(DataFrame.unionByName, first).withColumn("_rank", F.row_number().over(order))
     # At most 2 * max_docs ids.
     sample = store_stage(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").withColumn("_probe", F.col("_rank") % 5 == 0), "sample")
     learned = sample.where(~F.col("_probe")).select("text", "_toxic")
