@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import context_mixing, cross_parse, filter_audit, line_quality, lines, mixing, packing, rule_ensemble, simhash_tree, token_align, toxicity, voronoi_topk
+from . import context_mixing, cross_parse, filter_audit, line_quality, lines, minhash, mixing, packing, rule_ensemble, simhash_tree, token_align, toxicity, voronoi_topk
 from .common import table
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op2_source_mix": lambda spark, sf_dir: mixing.digest(table(spark, sf_dir, "documents")),
     "op3_simhash_tree": lambda spark, sf_dir: simhash_tree.digest(table(spark, sf_dir, "documents")),
     "op9_line_frequency": lambda spark, sf_dir: line_quality.digest(table(spark, sf_dir, "documents")),
+    "op11_minhash": lambda spark, sf_dir: minhash.digest(table(spark, sf_dir, "documents")),
     "op12_pair_bitmaps": lambda spark, sf_dir: token_align.digest(table(spark, sf_dir, "documents")),
     "op13_filter_audit": lambda spark, sf_dir: filter_audit.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op10_line_dedup": lambda spark, sf_dir: lines.digest(table(spark, sf_dir, "documents")),
