@@ -101,6 +101,12 @@ def new_keys(source: DataFrame, stored: DataFrame, keys: Sequence[str], null_saf
     return source.join(old, condition, "left_anti")
 
 
+def stored_days(stored: DataFrame, load: DataFrame, day: str) -> DataFrame:
+    """Stored rows of the days that ``load`` has rows of; of a table partitioned by ``day`` only these partitions are opened."""
+    days = load.agg(F.collect_set(day)).scalar()
+    return stored.where(F.array_contains(days, F.col(day)))
+
+
 TEXTILE_KEY = ("date", "machine", "lot")
 COMPLETE_BEAM_KEY, COMPLETE_BEAM_NULL_SAFE = ("date", "machine", "lot"), ("shift", "worker")
 START_BEAM_KEY = ("machine", "lot", "beam_no", "beam_start_date", "source_updated_at")

@@ -145,11 +145,13 @@ def state_key() -> Column:
 
 
 def newest_per_dataset(chosen: DataFrame) -> DataFrame:
-    """Of latest-only data sets keep the newest attachment; archived ones all stay."""
-    keyed = chosen.withColumn("state_key", state_key())
+    """Of latest-only data sets keep the newest attachment; archived ones all stay.
+
+    One rank over one read: an archived attachment is ranked alone, so the filter is the plain one that cuts each key before the shuffle.
+    """
+    keyed = chosen.withColumn("state_key", state_key()).withColumn("_alone", F.when(~_is_latest(), F.monotonically_increasing_id()))
     order = [F.desc("received_at"), F.asc("entry_id"), F.asc("attachment_index")]
-    latest = first_per_key(keyed.where(_is_latest()), ["state_key"], order)
-    return keyed.where(~_is_latest()).unionByName(latest)
+    return first_per_key(keyed, ["state_key", "_alone"], order).drop("_alone")
 
 
 def not_seen(newest: DataFrame, state: DataFrame, force: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.casting import to_date, to_double, to_timestamp
 from ..functions.cleaning import clean_machine_no, clean_text
 from ..functions.dates import production_date
 from ..functions.naming import header_name, plain_name, suffixed
+from ..sources.tables import store_stage
 from .versions import number_rows
 
 SHEET = ("source_file", "sheet_name")
@@ -157,10 +158,15 @@ def start_beam_rows(cells: DataFrame) -> DataFrame:
 # -- daily textile sheets --------------------------------------------------
 
 
+def named_sheets(cells: DataFrame) -> DataFrame:
+    """Without summary sheets."""
+    name = F.lower(F.trim("sheet_name"))
+    return cells.where(~name.startswith(SKIPPED_PREFIX) & (name != SKIPPED_SHEET))
+
+
 def keep_sheets(cells: DataFrame) -> DataFrame:
     """Drop summary sheets and sheets of fewer than five rows."""
-    name = F.lower(F.trim("sheet_name"))
-    wanted = cells.where(~name.startswith(SKIPPED_PREFIX) & (name != SKIPPED_SHEET))
+    wanted = named_sheets(cells)
     tall = wanted.groupBy(*SHEET).agg(F.max("row_idx").alias("last")).where(F.col("last") >= DATA_ROW)
     return wanted.join(tall.select(*SHEET), list(SHEET), "left_semi")
 
@@ -206,9 +212,14 @@ def production_headers(cells: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def _body(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """Body cells of machine rows under the target columns (sheet, col_idx, prod_date, field)."""
+    """Body cells of machine rows under the target columns (sheet, col_idx, prod_date, field), in one pass: a row's machine comes from its own first cell."""
     body = cells.where(F.col("row_idx") >= DATA_ROW).select(*SHEET, "row_idx", "col_idx", "value")
-    return body.join(targets, [*SHEET, "col_idx"]).join(machine_rows(cells), [*SHEET, "row_idx"])
+    # A sheet has at most 16,384 columns, so a row's cells are few however long the sheet is.
+    row = Window.partitionBy(*SHEET, "row_idx")
+    first = F.when(F.col("col_idx") == MACHINE_COLUMN, clean_machine_no(F.col("value")))
+    aimed = body.join(targets, [*SHEET, "col_idx"], "left").where(F.col("field").isNotNull() | (F.col("col_idx") == MACHINE_COLUMN))
+    named = aimed.withColumn("machine_no", F.max(first).over(row))
+    return named.where(F.col("field").isNotNull() & F.col("machine_no").rlike(MACHINE_PATTERN))
 
 
 def _lot_targets(cells: DataFrame, months: DataFrame) -> DataFrame:
@@ -273,17 +284,45 @@ def _one_to_one(merged: DataFrame) -> DataFrame:
     )
 
 
+def textile_targets(cells: DataFrame) -> DataFrame:
+    """(sheet, col_idx, prod_date, field) of the columns to read, from the two header rows in one pass.
+
+    Sheets without a month or without a dated output column in it have no target. The header rows of a sheet meet in one task; they are at most
+    2 x 16,384 cells.
+    """
+    row, col = F.col("row_idx"), F.col("col_idx")
+    heads = cells.where(row.isin(PRODUCTION_HEADER_ROW, LOT_HEADER_ROW)).withColumn("_date", F.when(row == LOT_HEADER_ROW, _date_cell()))
+    sheet = Window.partitionBy(*SHEET)
+    two_left = Window.partitionBy(*SHEET, "row_idx").orderBy("col_idx").rangeBetween(-2, -2)
+    first = F.min(F.when(F.col("_date").isNotNull() & (col >= MONTH_COLUMN), F.struct("col_idx", "_date"))).over(sheet)
+    placed = heads.select(*SHEET, "row_idx", "col_idx", "value", "_date", first["_date"].alias("_first"),
+                          F.max(F.struct("value", "value_type")).over(two_left).alias("_left"))
+    year, month = F.year("_first"), F.month("_first")
+    is_output = (row == PRODUCTION_HEADER_ROW) & (col >= 2) & F.contains(F.replace("value", F.lit(" "), F.lit("")), F.lit(OUTPUT_HEADER))
+    made_on = F.when(is_output, production_date(F.col("_left.value"), F.col("_left.value_type"), year, month))
+    dated = placed.where("_first is not null").select(
+        *SHEET, "row_idx", "col_idx", F.coalesce("_date", made_on).alias("prod_date"), year.alias("_year"), month.alias("_month")
+    ).where((F.year("prod_date") == F.col("_year")) & (F.month("prod_date") == F.col("_month")))
+    with_output = dated.withColumn("_output", F.max(row == PRODUCTION_HEADER_ROW).over(sheet)).where("_output")
+
+    def target(at: Column, field: str) -> Column:
+        return F.struct(at.cast("int").alias("col_idx"), F.lit(field).alias("field"))
+
+    fields = F.when(row == LOT_HEADER_ROW, F.array(target(col, "lot_no"))).otherwise(
+        F.array(*[target(col - back, f) for back, f in zip((2, 1, 0), _MEASURES)])
+    )
+    return with_output.withColumn("_fields", fields).select(*SHEET, "prod_date", F.inline("_fields"))
+
+
 def textile_day_rows(cells: DataFrame) -> DataFrame:
     """Daily textile sheets -> one row per (sheet, machine_no, prod_date).
 
-    Lots and production are taken in one pass over the body. A sheet whose lot
-    or production part is empty gives nothing.
+    The header rows are read once for the columns to read, a small table that is stored; the body is read once against it. A sheet whose lot or production
+    part is empty gives nothing. Sheets of fewer than five rows have no body.
     """
-    cells = keep_sheets(cells)
-    months = sheet_month(cells)
-    targets = _lot_targets(cells, months).unionByName(_production_targets(cells, months))
+    cells = named_sheets(cells)
     field = F.col("field")
-    values = _body(cells, targets).withColumn(
+    values = _body(cells, store_stage(textile_targets(cells), "targets")).withColumn(
         "value", F.when(field == "lot_no", clean_text(F.col("value"))).otherwise(F.col("value"))
     ).where("value is not null")
     merged = values.groupBy(*SHEET, "machine_no", "prod_date").agg(
@@ -291,12 +330,6 @@ def textile_day_rows(cells: DataFrame) -> DataFrame:
         F.count_if(field == "lot_no").alias("_lots"),
         F.greatest(*[F.count_if(field == f) for f in _MEASURES]).alias("_made"),
     )
-    # Lot part: any lot value in the month. Production part: any dated output
-    # column in the month; its machine rows are the same as the lot part's.
+    # The lot part is empty without any lot value in the month. Both branches read the same exchange.
     with_lots = merged.where("lot_no is not null").select(*SHEET).distinct()
-    with_output = targets.where(field == "prod_output_m").select(*SHEET).distinct()
-    return (
-        _one_to_one(merged)
-        .join(with_lots, list(SHEET), "left_semi")
-        .join(with_output, list(SHEET), "left_semi")
-    )
+    return _one_to_one(merged).join(with_lots, list(SHEET), "left_semi")

@@ -11,6 +11,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import APPEND, COMPLETE_BEAM, MACHINE_STATUS, START_BEAM, TEXTILE_DAYS, RawSource
 from ..operators import incremental as inc
@@ -69,11 +70,22 @@ def ingest_status(events: DataFrame) -> None:
 # -- silver ----------------------------------------------------------------
 
 
-def _insert_only(rows: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = ()) -> None:
+#: Partition columns of the silver tables; a merge reads the stored days of its own rows only.
+PARTITIONS = {"slv_textile_days": "date", "slv_complete_beam": "date", "slv_start_beam": "snapshot_date"}
+
+
+def insert_only(rows: DataFrame, name: str, keys: Sequence[str], null_safe: Sequence[str] = ()) -> None:
+    """Add the rows whose key is not stored. First write wins.
+
+    The stored side is filtered by the days of the load, which Spark knows only when it runs: other partitions are not opened. Days of a load are bounded by
+    the calendar.
+    """
     spark = rows.sparkSession
+    day = PARTITIONS[name]
     if spark.catalog.tableExists(name):
-        rows = inc.new_keys(rows, spark.table(name), keys, null_safe)
-    tables.append_rows(rows, name)
+        rows = tables.store_stage(rows, name)
+        rows = inc.new_keys(rows, inc.stored_days(spark.table(name), rows, day), keys, null_safe)
+    tables.append_rows(rows, name, day)
 
 
 def load_silver(spark: SparkSession, start_beam_mode: str = "baseline") -> None:
@@ -85,34 +97,41 @@ def load_silver(spark: SparkSession, start_beam_mode: str = "baseline") -> None:
             raw = inc.above_stored_id(raw, spark.table("slv_machine_status"))
         tables.append_rows(silver.machine_status(raw), "slv_machine_status")
     if exists("raw_textile_days"):
-        _insert_only(silver.textile_days(spark.table("raw_textile_days")), "slv_textile_days", inc.TEXTILE_KEY)
+        insert_only(silver.textile_days(spark.table("raw_textile_days")), "slv_textile_days", inc.TEXTILE_KEY)
     if exists("raw_complete_beam"):
         rows = silver.complete_beam(spark.table("raw_complete_beam"))
-        _insert_only(rows, "slv_complete_beam", inc.COMPLETE_BEAM_KEY, inc.COMPLETE_BEAM_NULL_SAFE)
+        insert_only(rows, "slv_complete_beam", inc.COMPLETE_BEAM_KEY, inc.COMPLETE_BEAM_NULL_SAFE)
     if exists("raw_start_beam"):
         load_start_beam(spark, start_beam_mode)
 
 
 def load_start_beam(spark: SparkSession, mode: str) -> None:
     rows = silver.start_beam(spark.table("raw_start_beam"), incremental=mode == "incremental")
-    _insert_only(rows, "slv_start_beam", inc.START_BEAM_KEY)
+    insert_only(rows.withColumn("snapshot_date", F.col("source_updated_at").cast("date")), "slv_start_beam", inc.START_BEAM_KEY)
 
 
 def prepare_start_beam(spark: SparkSession, day: dt.date, name: str = "slv_start_beam") -> str:
     """Undo snapshots of ``day`` and later, so the day can be loaded again.
 
     Returns 'incremental' when older snapshots remain. Without any the table is
-    dropped and the day becomes the full baseline.
+    dropped and the day becomes the full baseline. Of a table by snapshot only
+    whole partitions are dropped, and none is read.
     """
     tables.recover(spark, name)
     if not spark.catalog.tableExists(name):
         return "baseline"
-    stored = spark.table(name)
-    mode = inc.replay_mode(stored, day).collect()[0]["mode"]
+    if tables.partition_columns(spark, name) == ["snapshot_date"]:
+        found = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+        mode = "incremental" if any(d < day.isoformat() for d in found) else "baseline"
+        for late in sorted((d for d in found if d >= day.isoformat()), reverse=True) if mode == "incremental" else ():
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (snapshot_date = date'{late}')")
+    else:
+        stored = spark.table(name)
+        mode = inc.replay_mode(stored, day).collect()[0]["mode"]
+        if mode == "incremental":
+            tables.swap_in(inc.rows_before(stored, day), name)
     if mode == "baseline":
         spark.sql(f"DROP TABLE {name}")
-    else:
-        tables.swap_in(inc.rows_before(stored, day), name)
     return mode
 
 

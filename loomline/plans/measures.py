@@ -1,19 +1,22 @@
 """Measures over the gold tables under a date and machine selection.
 
 Blank is NULL. Sums of nothing, ratios over nothing or zero, and counts of no
-rows are blank. Facts are first reduced to one row per day (or machine), so what
-is ordered or compared afterwards is bounded by the calendar, not by the data.
+rows are blank. Facts are first reduced to one row per date and machine (see
+``Summary``), so what is ordered or compared afterwards is bounded by the
+calendar and the mill, not by the data. Every measure takes the facts or a
+summary that is stored already.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import store_stage
 from .gold import Gold, with_plan_columns
 
 # Thresholds, weights, labels and colours shown on the report.
@@ -60,32 +63,81 @@ def has_plan() -> Column:
     return F.col("beam_plan_key").isNotNull() & (F.col("beam_plan_key") != "")
 
 
-def _with_planned_output(gold: Gold) -> DataFrame:
-    return with_plan_columns(gold.production, gold.plans, "planned_daily_output_mts")
-
-
 _PRODUCTION_SUMS = {
     "production_mts": lambda: F.col("production_qty_mts"),
     "with_plan_mts": lambda: F.when(has_plan(), F.col("production_qty_mts")),
     "planned_mts": lambda: F.col("planned_daily_output_mts"),
 }
 _STATUS_SUMS = ("running_hours", "stopped_hours", "changeover_hours", "disconnected_hours")
+_FLAGS = ("any_production", "any_plan", "any_status")
+
+
+@dataclass(frozen=True)
+class Summary:
+    """Both facts reduced to (date, machine) and to dates, in one table partitioned by date.
+
+    ``by_machine`` rows hold the base sums, ``by_date`` rows what any machine has on a date. Reports of one date read its partition only.
+    """
+
+    rows: DataFrame
+
+    @property
+    def by_machine(self) -> DataFrame:
+        return self.rows.where("level = 'machine'").drop("level")
+
+    @property
+    def by_date(self) -> DataFrame:
+        return self.rows.where("level = 'date'").select("date", *_FLAGS)
+
+
+def _production_rows(gold: Gold) -> DataFrame:
+    rows = with_plan_columns(gold.production, gold.plans, "planned_daily_output_mts")
+    sums = [value().alias(name) for name, value in _PRODUCTION_SUMS.items()]
+    return rows.select("date", "machine", *sums, F.lit(True).alias("any_production"), has_plan().alias("any_plan"))
+
 
+def _status_rows(gold: Gold) -> DataFrame:
+    return gold.status.select("date", "machine", *_STATUS_SUMS, F.lit(True).alias("any_status"))
 
-def production_sums(gold: Gold, *keys: str, kept: Column | None = None) -> DataFrame:
-    """Produced, produced-with-plan and planned metres per ``keys``.
+
+def summary(gold: Gold) -> Summary:
+    """Each fact is read once: one tagged union, one aggregate over two grouping sets.
 
     Planned output counts once per production row: two lots on a day count twice.
     """
-    rows = _with_planned_output(gold)
+    both = _production_rows(gold).unionByName(_status_rows(gold), allowMissingColumns=True)
+    sums = [F.sum(name).alias(name) for name in (*_PRODUCTION_SUMS, *_STATUS_SUMS)]
+    flags = [F.coalesce(F.bool_or(name), F.lit(False)).alias(name) for name in _FLAGS]
+    level = F.when(F.grouping("machine") == 1, "date").otherwise("machine").alias("level")
+    return Summary(both.groupingSets([["date", "machine"], ["date"]], "date", "machine").agg(*sums, *flags, level))
+
+
+def stored_summary(gold: Gold) -> Summary:
+    """The summary written once, a folder per date, for reports that ask it many things. A date has at most a row per machine and one more."""
+    return Summary(store_stage(summary(gold).rows.repartition("date"), "summary", "date"))
+
+
+def production_sums(facts: Gold | Summary, *keys: str, kept: Column | None = None) -> DataFrame:
+    """Produced, produced-with-plan and planned metres per ``keys`` of date and machine."""
+    return _sums(facts, "any_production", _PRODUCTION_SUMS, keys, kept)
+
+
+def status_sums(facts: Gold | Summary, *keys: str, kept: Column | None = None) -> DataFrame:
+    return _sums(facts, "any_status", _STATUS_SUMS, keys, kept)
+
+
+def _sums(facts: Gold | Summary, flag: str, names: Iterable[str], keys: Sequence[str], kept: Column | None) -> DataFrame:
+    if isinstance(facts, Summary):
+        rows = facts.by_machine.where(flag)
+    else:  # the one fact that is asked for
+        rows = _production_rows(facts) if flag == "any_production" else _status_rows(facts)
     if kept is not None:
         rows = rows.where(kept)
-    return rows.groupBy(*keys).agg(*[F.sum(value()).alias(name) for name, value in _PRODUCTION_SUMS.items()])
+    return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
 
 
-def status_sums(gold: Gold, *keys: str, kept: Column | None = None) -> DataFrame:
-    rows = gold.status if kept is None else gold.status.where(kept)
-    return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in _STATUS_SUMS])
+def as_summary(facts: Gold | Summary) -> Summary:
+    return facts if isinstance(facts, Summary) else summary(facts)
 
 
 def lost_hours() -> Column:
@@ -124,7 +176,7 @@ def blank_if_none(count: Column) -> Column:
 # -- totals under a selection ----------------------------------------------
 
 
-def production_totals(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def production_totals(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: total production, production with plan, planned output, performance, gap, coverage."""
     return production_sums(gold, kept=sel.in_range() & sel.on_machine()).select(
         "production_mts",
@@ -136,7 +188,7 @@ def production_totals(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     )
 
 
-def status_totals(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def status_totals(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: the four status hours, their total, lost hours and availability."""
     return status_sums(gold, kept=sel.in_range() & sel.on_machine()).select(
         *_STATUS_SUMS,
@@ -150,7 +202,7 @@ def is_critical() -> Column:
     return (total_hours() > 0) & (availability() < CRITICAL_BELOW)
 
 
-def critical_machines(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def critical_machines(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: machines with status hours and availability below the threshold."""
     by_machine = status_sums(gold, "machine", kept=sel.in_range() & sel.on_machine())
     return by_machine.agg(blank_if_none(F.count_if(is_critical())).alias("critical_machines"))
@@ -159,21 +211,13 @@ def critical_machines(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
 # -- reporting date --------------------------------------------------------
 
 
-def reporting_date(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def reporting_date(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: the last date with both planned production and status, in the date range.
 
     The machine selection does not move it. Blank when either side has no date.
     """
-    tagged = (
-        gold.production.where(sel.in_range() & has_plan())
-        .select(F.col("date").alias("produced"), F.lit(None).cast("date").alias("reported"))
-        .unionByName(
-            gold.status.where(sel.in_range()).select(
-                F.lit(None).cast("date").alias("produced"), F.col("date").alias("reported")
-            )
-        )
-    )
-    last = tagged.agg(F.max("produced").alias("produced"), F.max("reported").alias("reported"))
+    days = as_summary(gold).by_date.where(sel.in_range())
+    last = days.agg(F.max(F.when(F.col("any_plan"), F.col("date"))).alias("produced"), F.max(F.when(F.col("any_status"), F.col("date"))).alias("reported"))
     return last.select(_common_date().alias("reporting_date"))
 
 
@@ -182,7 +226,7 @@ def _common_date() -> Column:
     return F.when(both, F.least("produced", "reported"))
 
 
-def reporting_label(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def reporting_label(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     return reporting_date(gold, sel).select("reporting_date", date_label().alias("reporting_date_label"))
 
 
@@ -194,28 +238,19 @@ def date_label() -> Column:
 # -- daily series and the reporting day ------------------------------------
 
 
-def daily(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def daily(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row per date: all base sums of the selected machines, plus the reporting date.
 
     Every date is kept, since seven-day frames look back before the range. One
-    pass over each fact; the window at the end spans days, not facts.
+    pass over the summary; the window at the end spans days, not facts.
     """
     mine = sel.on_machine()
-    production = (
-        _with_planned_output(gold)
-        .groupBy("date")
-        .agg(
-            *[F.sum(F.when(mine, value())).alias(name) for name, value in _PRODUCTION_SUMS.items()],
-            F.bool_or(has_plan()).alias("any_plan"),
-        )
-    )
-    status = gold.status.groupBy("date").agg(
-        *[F.sum(F.when(mine, F.col(name))).alias(name) for name in _STATUS_SUMS],
-        F.lit(True).alias("any_status"),
-        F.bool_or(mine).alias("my_status"),
+    days = as_summary(gold).by_machine.groupBy("date").agg(
+        *[F.sum(F.when(mine, F.col(name))).alias(name) for name in (*_PRODUCTION_SUMS, *_STATUS_SUMS)],
+        F.bool_or("any_plan").alias("any_plan"),
+        F.bool_or("any_status").alias("any_status"),
+        F.bool_or(mine & F.col("any_status")).alias("my_status"),
     )
-    both = production.unionByName(status, allowMissingColumns=True)
-    days = both.groupBy("date").agg(*[F.max(c).alias(c) for c in both.columns if c != "date"])
     all_days = Window.partitionBy()
 
     def last_in_range(flag: str) -> Column:
@@ -229,7 +264,7 @@ def daily(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     )
 
 
-def at_reporting_date(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def at_reporting_date(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: the measures on the reporting date, the week before it, and their change.
 
     The date range is replaced by the reporting date (or the seven days before
@@ -301,16 +336,13 @@ def health_insight(critical: Column) -> Column:
 # -- machines on the reporting date ----------------------------------------
 
 
-def machines_at_reporting_date(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
-    """One row per selected machine with any fact on the reporting date: base sums of both facts."""
-    kept = (F.col("date") == reporting_date(gold, sel).scalar()) & sel.on_machine()
-    both = production_sums(gold, "machine", kept=kept).unionByName(
-        status_sums(gold, "machine", kept=kept), allowMissingColumns=True
-    )
-    return both.groupBy("machine").agg(*[F.max(c).alias(c) for c in both.columns if c != "machine"])
+def machines_at_reporting_date(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
+    """One row per selected machine with any fact on the reporting date: base sums of both facts. A stored summary is read for that date only."""
+    facts = as_summary(gold)
+    return facts.by_machine.where((F.col("date") == reporting_date(facts, sel).scalar()) & sel.on_machine()).drop("date", *_FLAGS)
 
 
-def machine_counts_at_reporting_date(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def machine_counts_at_reporting_date(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """One row: critical, conflicting and silent machines on the reporting date."""
     produced, hours = F.col("production_mts") > 0, total_hours()
     conflict = produced & (hours > 0) & (F.col("running_hours") == 0)
@@ -336,7 +368,7 @@ def _range_on(name: str, sel: Selection, series: DataFrame) -> DataFrame:
     return series.withColumnRenamed(name, "date").where(sel.in_range())
 
 
-def production_through_reporting_date(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def production_through_reporting_date(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Production per date up to the reporting date."""
     return (
         daily(gold, sel)
@@ -345,7 +377,7 @@ def production_through_reporting_date(gold: Gold, sel: Selection = EVERYTHING) -
     )
 
 
-def production_7d_average(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def production_7d_average(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Per date up to the reporting date: mean daily production of the seven days ending there.
 
     Days without production are left out of the mean.
@@ -355,7 +387,7 @@ def production_7d_average(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     return _range_on("axis", sel, means).where("production_7d_average is not null")
 
 
-def availability_7d_average(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def availability_7d_average(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Per date up to the machines' last status date: running over total hours of seven days."""
     spread = _trailing_week(daily(gold, sel)).where("axis <= last_status_date")
     sums = spread.groupBy("axis").agg(*[F.sum(c).alias(c) for c in _STATUS_SUMS])

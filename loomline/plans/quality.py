@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.casting import to_bigint, to_timestamp
+from ..sources.tables import store_stage
 from .gold import Gold
 
 # Columns that must be filled, and keys that must be unique.
@@ -34,6 +37,18 @@ COMPOSITE_KEYS = {
     "slv_start_beam": ("machine", "lot", "beam_no", "beam_start_date", "source_updated_at"),
     "slv_textile_days": ("date", "machine", "lot"),
 }
+RAW_KEYS = {
+    "raw_complete_beam": ("date", "machine", "lot", "shift", "worker"),
+    "raw_start_beam": ("machine_no", "beam_no"),
+    "raw_textile_days": ("prod_date", "machine_no", "lot_no"),
+    "raw_machine_status": ("id",),
+}
+RAW_TYPES = {
+    "raw_complete_beam": {"date": "timestamp"},
+    "raw_start_beam": {"beam_start_date": "timestamp"},
+    "raw_textile_days": {"prod_date": "timestamp"},
+    "raw_machine_status": {"id": "bigint", "timestamp": "timestamp"},
+}
 HOURS = ("running_hours", "stopped_hours", "changeover_hours", "disconnected_hours", "planned_shutdown_hours")
 MOST_HOURS, MOST_SUNDAY, MOST_MONDAY, MOST_OTHER = 24.0001, 18.5001, 6.5001, 0.0001
 
@@ -63,20 +78,27 @@ def unique_violations(df: DataFrame, table: str, keys: Sequence[str]) -> DataFra
     )
 
 
-def hours_out_of_bounds(status: DataFrame) -> DataFrame:
-    """Fact rows with negative hours or more than a day in total."""
-    negative = F.least(*HOURS) < 0
+def _beyond_a_day() -> Column:
     total = F.col(HOURS[0])
     for name in HOURS[1:]:
         total = total + F.col(name)
-    return status.where(negative | (total > MOST_HOURS))
+    return (F.least(*HOURS) < 0) | (total > MOST_HOURS)
 
 
-def shutdown_out_of_window(status: DataFrame) -> DataFrame:
-    """Fact rows with more planned shutdown than their weekday allows."""
+def hours_out_of_bounds(status: DataFrame) -> DataFrame:
+    """Fact rows with negative hours or more than a day in total."""
+    return status.where(_beyond_a_day())
+
+
+def _outside_window() -> Column:
     weekday = F.weekday("date")
     most = F.when(weekday == 6, MOST_SUNDAY).when(weekday == 0, MOST_MONDAY).otherwise(MOST_OTHER)
-    return status.where(F.col("planned_shutdown_hours") > most).select("date", "machine", "planned_shutdown_hours")
+    return F.col("planned_shutdown_hours") > most
+
+
+def shutdown_out_of_window(status: DataFrame) -> DataFrame:
+    """Fact rows with more planned shutdown than their weekday allows."""
+    return status.where(_outside_window()).select("date", "machine", "planned_shutdown_hours")
 
 
 def orphan_machines(production: DataFrame, machines: DataFrame) -> DataFrame:
@@ -144,46 +166,114 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return merged
 
 
-def _counted(layer: str, table: str, check: str, failing: DataFrame) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "violations"
-    )
+def layer_of(table: str) -> str:
+    return {"raw": "raw", "slv": "silver"}.get(table[:3], "gold")
 
 
-def layer_of(table: str) -> str:
-    return "silver" if table.startswith("slv_") else "gold"
+# -- all checks of a table -----------------------------------------------------
+
+
+def row_checks(table: str) -> dict[str, Column]:
+    """Check name -> condition that a row breaks it."""
+    checks = {f"not_null:{c}": F.col(c).isNull() for c in NOT_NULL.get(table, ())}
+    for column, kind in RAW_TYPES.get(table, {}).items():
+        read = to_bigint(F.col(column)) if kind == "bigint" else to_timestamp(F.col(column))
+        checks[f"unreadable:{column}"] = F.col(column).isNotNull() & read.isNull()
+    if table == "gld_machine_status_daily_fact":
+        checks |= {"hours_within_day": _beyond_a_day(), "shutdown_within_window": _outside_window()}
+    return checks
+
 
+def key_checks(table: str) -> dict[str, tuple[Sequence[str], bool]]:
+    """Check name -> (key columns, whether rows with a NULL are exempt)."""
+    checks = {f"unique:{','.join(k)}": (k, True) for k in UNIQUE.get(table, ())}
+    composite = COMPOSITE_KEYS.get(table) or RAW_KEYS.get(table)
+    return checks | ({"unique_key": (composite, False)} if composite else {})
 
-def summary(tables: Mapping[str, DataFrame], layer: str | None = None) -> DataFrame:
+
+def tagged_keys(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, check_name, key, side): one row per row of ``df`` and key to check.
+
+    Sides: 0 counts for a unique key, 1 needs a partner and 2 is one.
+    """
+
+    def tag(check: str, columns: Sequence[str], side: int, kept: Column) -> Column:
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        return F.when(kept, F.struct(F.lit(check).alias("check_name"), key.alias("key"), F.lit(side).alias("side")))
+
+    tags = []
+    for check, (columns, exempt) in key_checks(table).items():
+        filled = [F.col(c).isNotNull() for c in columns] if exempt else []
+        kept = F.lit(True)
+        for one in filled:
+            kept = kept & one
+        tags.append(tag(check, columns, 0, kept))
+    if table == "gld_production_daily_fact":
+        tags.append(tag("machines_report_status", ["machine"], 1, F.lit(True)))
+    if table == "gld_machine_dim":
+        tags.append(tag("machines_report_status", ["machine"], 2, F.col("is_in_status_fact")))
+    if not tags:
+        return None
+    own = F.when(F.col("tag.check_name") == "machines_report_status", "gld_production_daily_fact").otherwise(F.lit(table))
+    rows = df.select(F.explode(F.array_compact(F.array(*tags))).alias("tag"))
+    return rows.select(own.alias("table_name"), "tag.*")
+
+
+@dataclass(frozen=True)
+class Checked:
+    """A stored table and how many rows broke its row checks, counted while it was written."""
+
+    rows: DataFrame
+    broken: Mapping[str, int]
+
+
+def store_checked(df: DataFrame, table: str) -> Checked:
+    """Write a table; its row checks are counted by the tasks that write it."""
+    checks = row_checks(table)
+    if not checks:
+        return Checked(store_stage(df, table), {})
+    seen = Observation(f"checks_{table}")
+    stored = store_stage(df.observe(seen, *[F.count_if(broken).alias(name) for name, broken in checks.items()]), table)
+    return Checked(stored, dict(seen.get))
+
+
+def _row_results(table: str, given: DataFrame | Checked) -> DataFrame:
+    """(table_name, check_name, violations) of the row checks; a table that was not stored by ``store_checked`` is read once for all of them."""
+    checks = row_checks(table)
+    if isinstance(given, Checked):
+        source = given.rows.sparkSession.range(1)
+        counts = [F.lit(given.broken[name]).cast("bigint") for name in checks]
+    else:
+        source = given.agg(*[F.count_if(broken).alias(f"c{k}") for k, broken in enumerate(checks.values())])
+        counts = [F.col(f"c{k}") for k in range(len(checks))]
+    rows = [F.struct(F.lit(name).alias("check_name"), count.alias("violations")) for name, count in zip(checks, counts)]
+    return source.select(F.inline(F.array(*rows))).select(F.lit(table).alias("table_name"), "check_name", "violations")
+
+
+def summary(tables: Mapping[str, DataFrame | Checked], layer: str | None = None) -> DataFrame:
     """(layer, table_name, check_name, violations) of every check on the given tables.
 
-    A passing pipeline has zero violations everywhere. ``layer`` limits the run
-    to 'silver' or 'gold'.
+    Keys of all tables are counted in one tagged group-by, which reads each table once; row checks of ``Checked`` tables are known already. A passing pipeline
+    has zero violations in silver and gold; raw tables repeat keys by nature, their counts inform. ``layer`` limits the run to 'raw', 'silver' or 'gold'.
     """
-    chosen = {t: df for t, df in tables.items() if layer in (None, layer_of(t))}
-    parts = []
-    for table, df in chosen.items():
-        nulls = null_counts(df, table, NOT_NULL[table])
-        parts.append(nulls.select(
-            F.lit(layer_of(table)).alias("layer"), "table_name",
-            F.concat(F.lit("not_null:"), "column_name").alias("check_name"), "violations",
-        ))
-        for keys in UNIQUE.get(table, ()):
-            parts.append(unique_violations(df, table, keys).select(
-                F.lit(layer_of(table)).alias("layer"), "table_name",
-                F.concat(F.lit("unique:"), "column_name").alias("check_name"), "violations",
-            ))
-        if table in COMPOSITE_KEYS:
-            parts.append(_counted(layer_of(table), table, "unique_key", duplicate_keys(df, COMPOSITE_KEYS[table])))
-    status = chosen.get("gld_machine_status_daily_fact")
-    production, machines = chosen.get("gld_production_daily_fact"), chosen.get("gld_machine_dim")
-    if status is not None:
-        name = "gld_machine_status_daily_fact"
-        parts.append(_counted("gold", name, "hours_within_day", hours_out_of_bounds(status)))
-        parts.append(_counted("gold", name, "shutdown_within_window", shutdown_out_of_window(status)))
-    if production is not None and machines is not None:
-        parts.append(_counted("gold", "gld_production_daily_fact", "machines_report_status", orphan_machines(production, machines)))
-    return _union(parts)
+    chosen = {t: given for t, given in tables.items() if layer in (None, layer_of(t))}
+    rows = {t: given.rows if isinstance(given, Checked) else given for t, given in chosen.items()}
+    spark = next(iter(rows.values())).sparkSession
+    names = [(t, check) for t in chosen for check in key_checks(t)]
+    both_sides = "gld_production_daily_fact" in chosen and "gld_machine_dim" in chosen
+    if both_sides:
+        names.append(("gld_production_daily_fact", "machines_report_status"))
+    parts = [_row_results(t, given) for t, given in chosen.items() if row_checks(t)]
+    if names:
+        keys = _union([k for k in (tagged_keys(df, t) for t, df in rows.items()) if k is not None])
+        held = keys.groupBy("table_name", "check_name", "key").agg(
+            F.count_if(F.col("side") == 0).alias("repeats"), F.bool_or(F.col("side") == 1).alias("asks"), F.bool_or(F.col("side") == 2).alias("known")
+        )
+        broken = held.groupBy("table_name", "check_name").agg(F.count_if((F.col("repeats") > 1) | (F.col("asks") & ~F.col("known"))).alias("violations"))
+        zeros = spark.createDataFrame(names, "table_name string, check_name string")
+        parts.append(zeros.join(broken, ["table_name", "check_name"], "left").withColumn("violations", F.coalesce("violations", F.lit(0))))
+    layers = F.when(F.col("table_name").startswith("raw"), "raw").when(F.col("table_name").startswith("slv"), "silver").otherwise("gold")
+    return _union(parts).select(layers.alias("layer"), "table_name", "check_name", "violations")
 
 
 def failed(report: DataFrame) -> list[str]:

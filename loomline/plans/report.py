@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from . import measures as ms
 from .gold import Gold
-from .measures import EVERYTHING, Selection
+from .measures import EVERYTHING, Selection, Summary
 
 
-def overview_cards(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def overview_cards(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """All cards in one row."""
     counts = ms.machine_counts_at_reporting_date(gold, sel)
     # Two one-row results side by side: tag both and merge.
@@ -40,7 +40,7 @@ def overview_cards(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     )
 
 
-def production_pulse(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def production_pulse(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Date x (production, seven-day average) up to the reporting date, ascending."""
     day = F.col("date")
     spread = ms._trailing_week(ms.daily(gold, sel)).where("axis <= reporting_date")
@@ -51,7 +51,7 @@ def production_pulse(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     return ms._range_on("axis", sel, series).where("production_7d_average is not null").orderBy("date")
 
 
-def availability_pulse(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def availability_pulse(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Date x (availability, seven-day average), ascending."""
     on_day = F.col("axis") == F.col("date")
     spread = ms._trailing_week(ms.daily(gold, sel)).where("axis <= last_status_date")
@@ -68,14 +68,14 @@ def availability_pulse(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
     return ms._range_on("axis", sel, series).where("availability_7d_average is not null").orderBy("date")
 
 
-def loss_hotspots(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def loss_hotspots(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Machine x lost hours on the reporting date, most first."""
     kept = (F.col("date") == ms.reporting_date(gold, sel).scalar()) & sel.on_machine()
     lost = ms.status_sums(gold, "machine", kept=kept).select("machine", ms.lost_hours().alias("lost_hours"))
     return lost.orderBy(F.desc("lost_hours"), "machine")
 
 
-def plan_risk(gold: Gold, sel: Selection = EVERYTHING) -> DataFrame:
+def plan_risk(gold: Gold | Summary, sel: Selection = EVERYTHING) -> DataFrame:
     """Machine x plan gap on the reporting date, largest first."""
     kept = (F.col("date") == ms.reporting_date(gold, sel).scalar()) & sel.on_machine()
     gaps = ms.production_sums(gold, "machine", kept=kept).select("machine", ms.plan_gap().alias("plan_gap_mts"))

@@ -17,9 +17,19 @@ from ..operators.versions import keep_best, keep_one_per_snapshot
 # test on the raw text and the machine rules read the cleaned code once.
 
 
+def dealt(raw: DataFrame, *columns: str) -> DataFrame:
+    """The columns to parse, dealt over the shuffle partitions by their text.
+
+    Parsing is most of the work of this layer, and the splits of a file say nothing about its share: a large row group is one task. The text of all columns
+    decides, so a machine, lot or day with very many rows is spread as well.
+    """
+    return raw.select(*columns).repartition(*columns)
+
+
 def machine_status(raw: DataFrame) -> DataFrame:
     """Status events. An unreadable id, machine or time drops the row; status may be NULL."""
-    coded = raw.select("id", clean_code(F.col("machine_id")).alias("code"), "status", "timestamp")
+    rows = dealt(raw, "id", "machine_id", "status", "timestamp")
+    coded = rows.select("id", clean_code(F.col("machine_id")).alias("code"), "status", "timestamp")
     return (
         coded.where("code is not null")
         .select(
@@ -35,7 +45,8 @@ def machine_status(raw: DataFrame) -> DataFrame:
 
 def complete_beam(raw: DataFrame) -> DataFrame:
     """Finished beams; repeats inside one load are kept."""
-    coded = raw.withColumns({"code": clean_code(F.col("machine")), "lot_code": clean_code(F.col("lot"))})
+    rows = dealt(raw, "date", "machine", "shift", "lot", "production_qty_kgs", "production_qty_mts", "worker", "qty_unit")
+    coded = rows.withColumns({"code": clean_code(F.col("machine")), "lot_code": clean_code(F.col("lot"))})
     return (
         coded.where("code is not null and lot_code is not null")
         .select(
@@ -54,7 +65,8 @@ def complete_beam(raw: DataFrame) -> DataFrame:
 
 def textile_days_typed(raw: DataFrame) -> DataFrame:
     """Daily production, typed and filtered, before the best row per key is kept."""
-    coded = raw.withColumns({"code": clean_code(F.col("machine_no")), "lot_code": clean_code(F.col("lot_no"))})
+    rows = dealt(raw, "prod_date", "machine_no", "lot_no", "prod_output_m", "meter_reading_m", "cut_length_m")
+    coded = rows.withColumns({"code": clean_code(F.col("machine_no")), "lot_code": clean_code(F.col("lot_no"))})
     return (
         coded.where("code is not null and lot_code is not null")
         .select(
@@ -78,7 +90,9 @@ def start_beam_typed(raw: DataFrame, incremental: bool = False) -> DataFrame:
 
     ``incremental`` keeps only plans that start on the snapshot's own date.
     """
-    coded = raw.withColumns({"code": clean_code(F.col("machine_no")), "lot_code": clean_code(F.col("lot_no"))})
+    rows = dealt(raw, "machine_no", "lot_no", "beam_no", "beam_start_date", "total_yarn", "length", "planned_output", "expected_beam_end_at",
+                 "daily_output_mts", "_updated_at")
+    coded = rows.withColumns({"code": clean_code(F.col("machine_no")), "lot_code": clean_code(F.col("lot_no"))})
     typed = (
         coded.where("code is not null and lot_code is not null")
         .select(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.asof import keep_status_machines
 from ..operators.intervals import machine_status_daily_fact
-from ..plans import gold, silver
+from ..plans import gold, measures, silver
 from ..sources.tables import store_stage
 
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -187,7 +187,7 @@ class Mill:
                 value.alias("value"), kind.alias("value_type"),
             )
 
-        days = self.sheet_days
+        days = store_stage(self.sheet_days, "days")
         row, d = F.col("l_suppkey") + 4, F.col("d")
         c = 42 + d * 3
         body = F.array(
@@ -245,6 +245,11 @@ class Mill:
     def stored_gold(self) -> StoredGold:
         return StoredGold(self.gold)
 
+    @cached_property
+    def summary(self) -> measures.Summary:
+        """Both facts by (date, machine), stored for reports that ask it many things."""
+        return measures.stored_summary(gold.Gold(self.gold.status, self.gold.production, self.gold.stored_plans))
+
     @property
     def produced(self) -> DataFrame:
         """Dates and machines of the production fact, which flag and plan match leave as they are."""

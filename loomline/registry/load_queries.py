@@ -442,13 +442,13 @@ def _(m: Mill) -> DataFrame:
 
 @query("valid_machine_rows", "select distinct sheet_name, row_idx, machine_no from sheet_rows")
 def _(m: Mill) -> DataFrame:
-    kept = sheets.machine_rows(sheets.keep_sheets(m.cells))
+    kept = sheets.machine_rows(sheets.named_sheets(m.cells))
     return kept.select("sheet_name", F.col("row_idx").cast("bigint").alias("row_idx"), "machine_no")
 
 
 @query("lot_unpivot", "select sheet_name, machine_no, prod_date, lot as lot_no from sheet_rows", dates="prod_date")
 def _(m: Mill) -> DataFrame:
-    cells = sheets.keep_sheets(m.cells)
+    cells = sheets.named_sheets(m.cells)
     return sheets.lot_unpivot(cells, sheets.sheet_month(cells)).drop("source_file")
 
 
@@ -456,7 +456,7 @@ def _(m: Mill) -> DataFrame:
        select sheet_name, machine_no, prod_date, cast(meter as varchar) as meter_reading_m, cast(cut as varchar) as cut_length_m,
               cast(output as varchar) as prod_output_m from sheet_rows""", dates="prod_date")
 def _(m: Mill) -> DataFrame:
-    cells = sheets.keep_sheets(m.cells)
+    cells = sheets.named_sheets(m.cells)
     return sheets.production_unpivot(cells, sheets.sheet_month(cells)).drop("source_file")
 
 

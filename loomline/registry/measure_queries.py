@@ -136,7 +136,7 @@ def _(m: Mill) -> DataFrame:
 
 @query("m_reporting_date", base("select rd as reporting_date from rd"), dates="reporting_date")
 def _(m: Mill) -> DataFrame:
-    return ms.reporting_date(m.gold)
+    return ms.reporting_date(planned(m))
 
 
 @query("m_reporting_label", base("""
@@ -144,7 +144,7 @@ def _(m: Mill) -> DataFrame:
                                              'NO COMMON DATA IN SELECTED RANGE') as reporting_date_label from rd"""),
        dates="reporting_date")
 def _(m: Mill) -> DataFrame:
-    return ms.reporting_label(m.gold)
+    return ms.reporting_label(planned(m))
 
 
 _AT = "production_at_rd plan_attainment_at_rd plan_gap_at_rd plan_coverage_at_rd availability_at_rd lost_hours_at_rd"
@@ -154,8 +154,8 @@ _AT = "production_at_rd plan_attainment_at_rd plan_gap_at_rd plan_coverage_at_rd
        select reporting_date, {', '.join(_AT.split())}, critical_machines_at_rd from card, counts"""),
        dates="reporting_date", doubles=_AT)
 def _(m: Mill) -> DataFrame:
-    row = ms.at_reporting_date(m.stored_gold).select("reporting_date", *_AT.split())
-    counts = ms.machine_counts_at_reporting_date(m.stored_gold).select("critical_machines_at_rd")
+    row = ms.at_reporting_date(m.summary).select("reporting_date", *_AT.split())
+    counts = ms.machine_counts_at_reporting_date(m.summary).select("critical_machines_at_rd")
     merged = row.unionByName(counts, allowMissingColumns=True)
     return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
 
@@ -165,7 +165,7 @@ _WEEK = "production_previous_7d plan_attainment_previous_7d availability_previou
 
 @query("m_previous_7d", base(f"select reporting_date, {', '.join(_WEEK.split())} from card"), dates="reporting_date", doubles=_WEEK)
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(planned(m)).select("reporting_date", *_WEEK.split())
+    return ms.at_reporting_date(m.summary).select("reporting_date", *_WEEK.split())
 
 
 _CHANGE = "production_change plan_change availability_change"
@@ -174,7 +174,7 @@ _CHANGE = "production_change plan_change availability_change"
 @query("m_change_vs_7d", base(f"select reporting_date, {', '.join(_CHANGE.split())} from card"), dates="reporting_date",
        doubles=_CHANGE)
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(planned(m)).select("reporting_date", *_CHANGE.split())
+    return ms.at_reporting_date(m.summary).select("reporting_date", *_CHANGE.split())
 
 
 _HEALTH = """
@@ -192,7 +192,7 @@ _HEALTH = """
 
 @query("m_factory_health", base(_HEALTH), dates="reporting_date", doubles="factory_health")
 def _(m: Mill) -> DataFrame:
-    return report.overview_cards(m.stored_gold).select(
+    return report.overview_cards(m.summary).select(
         "reporting_date", "factory_health", "factory_health_status", "factory_health_insight"
     )
 
@@ -203,7 +203,7 @@ def _(m: Mill) -> DataFrame:
               case when plan_change > 0 then '#2FA66A' when plan_change < 0 then '#E63946' else '#667085' end as plan_color
        from card"""))
 def _(m: Mill) -> DataFrame:
-    row = ms.at_reporting_date(planned(m))
+    row = ms.at_reporting_date(m.summary)
     return row.select(*[ms.change_color(F.col(f"{c}_change")).alias(f"{c}_color") for c in ("production", "availability", "plan")])
 
 
@@ -211,17 +211,17 @@ def _(m: Mill) -> DataFrame:
        select coalesce(printf('%.1f%%', round(plan_coverage_at_rd * 100, 1)) || ' of output covered', 'NO MATCHED PLAN COVERAGE')
                 as plan_coverage_label from card"""))
 def _(m: Mill) -> DataFrame:
-    return ms.at_reporting_date(planned(m)).select(ms.coverage_label(F.col("plan_coverage_at_rd")).alias("plan_coverage_label"))
+    return ms.at_reporting_date(m.summary).select(ms.coverage_label(F.col("plan_coverage_at_rd")).alias("plan_coverage_label"))
 
 
 @query("m_telemetry_conflicts", base("select telemetry_conflicts_at_rd from counts"))
 def _(m: Mill) -> DataFrame:
-    return ms.machine_counts_at_reporting_date(m.stored_gold).select("telemetry_conflicts_at_rd")
+    return ms.machine_counts_at_reporting_date(m.summary).select("telemetry_conflicts_at_rd")
 
 
 @query("m_missing_status", base("select missing_status_at_rd from counts"))
 def _(m: Mill) -> DataFrame:
-    return ms.machine_counts_at_reporting_date(m.stored_gold).select("missing_status_at_rd")
+    return ms.machine_counts_at_reporting_date(m.summary).select("missing_status_at_rd")
 
 
 # -- series ----------------------------------------------------------------
@@ -231,7 +231,7 @@ def _(m: Mill) -> DataFrame:
        select date, sum(production) as production_mts from made, rd where date <= rd group by date"""),
        dates="date", doubles="production_mts")
 def _(m: Mill) -> DataFrame:
-    return ms.production_through_reporting_date(planned(m))
+    return ms.production_through_reporting_date(m.summary)
 
 
 def _pulse_sql(in_range: str = "true", mine: str = "true") -> str:
@@ -255,23 +255,23 @@ def _availability_sql() -> str:
 
 @query("m_production_7d_avg", f"select date, production_7d_average from ({_pulse_sql()})", dates="date", doubles="production_7d_average")
 def _(m: Mill) -> DataFrame:
-    return ms.production_7d_average(planned(m))
+    return ms.production_7d_average(m.summary)
 
 
 @query("m_availability_7d_avg", f"select date, availability_7d_average from ({_availability_sql()})", dates="date",
        doubles="availability_7d_average")
 def _(m: Mill) -> DataFrame:
-    return ms.availability_7d_average(planned(m))
+    return ms.availability_7d_average(m.summary)
 
 
 @query("production_pulse", _pulse_sql(), dates="date", doubles="production_mts production_7d_average")
 def _(m: Mill) -> DataFrame:
-    return report.production_pulse(planned(m))
+    return report.production_pulse(m.summary)
 
 
 @query("availability_pulse", _availability_sql(), dates="date", doubles="availability availability_7d_average")
 def _(m: Mill) -> DataFrame:
-    return report.availability_pulse(planned(m))
+    return report.availability_pulse(m.summary)
 
 
 # -- visuals ---------------------------------------------------------------
@@ -294,13 +294,13 @@ _CARD_KINDS = dict(dates="reporting_date", doubles="factory_health production_at
 
 @query("overview_cards", base(_CARDS), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
-    return report.overview_cards(m.stored_gold)
+    return report.overview_cards(m.summary)
 
 
 @query("filter_date_range", base(_CARDS, in_range="date >= date '2024-01-05' and date < date '2024-01-18'"), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
     """All cards under the date slicer: 5 to 17 January, both included."""
-    return report.overview_cards(m.stored_gold, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17)))
+    return report.overview_cards(m.summary, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17)))
 
 
 _TICKED = ("WEV002", "WEV004", "WEV010", "WEV016", "WEV048", "WEV1000", "not there")
@@ -309,13 +309,13 @@ _TICKED = ("WEV002", "WEV004", "WEV010", "WEV016", "WEV048", "WEV1000", "not the
 @query("filter_machines", base(_CARDS, in_range="date >= date '2024-01-05' and date < date '2024-01-18'", mine=f"machine in {_TICKED}"), **_CARD_KINDS)
 def _(m: Mill) -> DataFrame:
     """All cards under a list of machines and a date range."""
-    return report.overview_cards(m.stored_gold, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17), _TICKED))
+    return report.overview_cards(m.summary, ms.Selection(dt.date(2024, 1, 5), dt.date(2024, 1, 17), _TICKED))
 
 
 @query("loss_hotspots", base("select machine, sum(lost) as lost_hours from told, rd where date = rd group by machine"),
        doubles="lost_hours")
 def _(m: Mill) -> DataFrame:
-    return report.loss_hotspots(m.stored_gold)
+    return report.loss_hotspots(m.summary)
 
 
 @query("plan_risk", base("""
@@ -323,4 +323,4 @@ def _(m: Mill) -> DataFrame:
        from made, rd where date = rd group by machine having sum(planned) is not null or sum(with_plan) is not null"""),
        doubles="plan_gap_mts")
 def _(m: Mill) -> DataFrame:
-    return report.plan_risk(m.stored_gold)
+    return report.plan_risk(m.summary)

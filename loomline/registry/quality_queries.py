@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import to_bigint, to_timestamp
-from ..plans import gold
+from ..plans import gold, silver
 from ..plans import quality as q
+from ..plans.daily import GOLD_TABLES
+from ..session import ensure_checkpoint_dir
 from ..sources import tables
 from .book import query
 from .inputs import Mill
@@ -74,8 +80,6 @@ def _(m: Mill) -> DataFrame:
        select date, machine, lot, count(*) as duplicate_count from textile_typed group by all having count(*) > 1""", dates="date")
 def _(m: Mill) -> DataFrame:
     """Duplicates of the key before the best row is kept; the silver table itself has none."""
-    from ..plans import silver
-
     return q.duplicate_keys(silver.textile_days_typed(m.raw_textile_days), ("date", "machine", "lot"))
 
 
@@ -220,9 +224,30 @@ def _describe_sql() -> str:
     return f"select table_name, position::bigint as position, column_name, {_TYPES} as data_type, filled_rows from ({' union all '.join(parts)})"
 
 
+@contextmanager
+def _catalog(m: Mill) -> Iterator[str]:
+    """A database with the tables of the folder, whichever there are."""
+    database = f"given_{uuid.uuid4().hex}"
+    tables.register_folder(m.spark, m.folder, database)
+    try:
+        yield database
+    finally:
+        m.spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @query("describe_tables", _describe_sql())
 def _(m: Mill) -> DataFrame:
-    return q.describe({t: m.table(t) for t in _GIVEN})
+    with _catalog(m) as database:
+        names = sorted(t.name for t in m.spark.catalog.listTables(database))
+        return q.describe({t: m.spark.table(f"{database}.`{t}`") for t in names})
+
+
+@query("catalog_listing", f"""
+       select table_name, ordinal_position::bigint as position, column_name, {_TYPES} as data_type
+       from information_schema.columns where table_schema = 'main'""")
+def _(m: Mill) -> DataFrame:
+    with _catalog(m) as database:
+        return tables.catalog_columns(m.spark, database)
 
 
 def _summary_sql() -> str:
@@ -241,18 +266,57 @@ def _summary_sql() -> str:
         "select 'gld_production_daily_fact', 'machines_report_status', "
         "(select count(*) from (select machine from production_fact except select machine from machine_dim))",
     ]
-    body = " union all ".join([nulls, unique, *composite, *facts])
-    return f"select case when starts_with(table_name, 'slv') then 'silver' else 'gold' end as layer, * from ({body})"
+    raw = [
+        f"select '{t}', 'unique_key', (select count(*) from (select 1 from {t} group by {', '.join(keys)} having count(*) > 1))"
+        for t, keys in q.RAW_KEYS.items()
+    ]
+    raw += [
+        f"select '{t}', 'unreadable:{c}', (select count(*) from {t} where \"{c}\" is not null and try_cast(\"{c}\" as {kind}) is null)"
+        for t, columns in q.RAW_TYPES.items() for c, kind in columns.items()
+    ]
+    body = " union all ".join([nulls, unique, *composite, *facts, *raw])
+    layer = "case left(table_name, 3) when 'raw' then 'raw' when 'slv' then 'silver' else 'gold' end"
+    return f"select {layer} as layer, * from ({body})"
+
+
+def _checked_layers(m: Mill) -> dict[str, q.Checked]:
+    """All three layers as a run writes them: each table once, read by the next layer from storage, its row checks counted on the way."""
+    made: dict[str, q.Checked] = {}
+
+    def keep(table: str, df: DataFrame) -> DataFrame:
+        made[table] = q.store_checked(df, table)
+        return made[table].rows
+
+    events = silver.machine_status(keep("raw_machine_status", m.raw_machine_status))
+    events = keep("slv_machine_status", events)
+    textile = keep("slv_textile_days", silver.textile_days(keep("raw_textile_days", m.raw_textile_days)))
+    starts = keep("slv_start_beam", silver.start_beam(keep("raw_start_beam", m.raw_start_beam)))
+    keep("slv_complete_beam", silver.complete_beam(keep("raw_complete_beam", m.raw_complete_beam)))
+    status = keep("gld_machine_status_daily_fact", gold.machine_status_daily_fact(events))
+    plans = keep("gld_beam_plan_dim", gold.beam_plan_dim(starts))
+    production = keep("gld_production_daily_fact", gold.production_daily_fact(textile, status, plans))
+    keep("gld_machine_dim", gold.machine_dim(status, production, plans))
+    keep("gld_date_dim", gold.date_dim(production, status, plans))
+    return made
 
 
 @query("dq_summary", _summary_sql())
 def _(m: Mill) -> DataFrame:
-    stored = {t: tables.store_stage(df, t) for t, df in _silver(m).items()}
-    return q.summary({**stored, **_gold(m)})
+    return q.summary(_checked_layers(m))
 
 
 @query("gold_export_counts", "\nunion all ".join(
     f"select '{t}' as table_name, count(*) as row_count from {_SQL_TABLES[t]}" for t in _SQL_TABLES if t.startswith("gld_")))
 def _(m: Mill) -> DataFrame:
-    """Every gold table is written as Parquet; what is read back is counted."""
-    return tables.row_counts({name: tables.store_stage(table, f"export_{name}") for name, table in _gold(m).items()})
+    """The gold tables of a catalog are exported as Parquet, counted while they are written; what is read back must agree."""
+    spark = m.spark
+    database = f"export_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name, table in _gold(m).items():
+            tables.swap_in(table, f"{database}.{name}")
+        folder = f"{ensure_checkpoint_dir(spark)}/stage/{database}"
+        exported = tables.export_parquet(spark, [f"{database}.{t}" for t in GOLD_TABLES], folder)
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return tables.exported_counts(spark, exported)

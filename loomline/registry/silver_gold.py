@@ -206,7 +206,7 @@ def _(m: Mill) -> DataFrame:
 
 @query("plan_validity_ranges", "from ranges", dates="beam_start_date next_beam_start_date")
 def _(m: Mill) -> DataFrame:
-    return asof.plan_validity_ranges(m.gold.plans)
+    return asof.plan_validity_ranges(m.gold.stored_plans)
 
 
 @query("asof_plan_join", """

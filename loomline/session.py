@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Rows may be whole files or long texts: batches for Python are cut by bytes as well.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     # Recording the Python call site of every column expression makes plans of
     # this size slow to build.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WORKBOOK = r"(?i)\.(xlsx|xls)\z"
-_SNAPSHOT = r"^(\d{4}-\d{2}-\d{2})_start_beam\.(?:xlsx|xls|XLSX|XLS)\z"
+_SNAPSHOT = r"^(\d{4}-\d{2}-\d{2})_start_beam\.(?i:xlsx|xls)\z"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -25,6 +25,20 @@ def workbooks(files: DataFrame) -> DataFrame:
     return files.where(F.col("filename").rlike(_WORKBOOK) & ~F.col("filename").startswith("~$"))
 
 
+def table_names(spark: SparkSession, folder: str) -> list[str]:
+    """Tables of a folder: files or folders named ``<table>.parquet``."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder).select("path")
+    last = folder.rstrip("/").rsplit("/", 1)[-1]
+    own = F.regexp_extract("path", rf".*?/\Q{last}\E/([^/]+)\.parquet", 1)
+    return sorted(r["name"] for r in found.select(own.alias("name")).distinct().where("name <> ''").collect())
+
+
+def plain_suffix(filename: Column) -> Column:
+    """The name with a workbook suffix in small letters: writers of ``.XLSX`` mean the same file."""
+    at = F.length(filename) - 4
+    return F.when(F.lower(filename).endswith(".xlsx"), F.concat(F.substring(filename, F.lit(1), at), F.lit("xlsx"))).otherwise(filename)
+
+
 def refuse_binary(paths: Iterable[str]) -> None:
     """Only the zipped workbook format is read; a file in the old one stops the load by name."""
     old = sorted(p for p in paths if p.lower().endswith(".xls"))
@@ -71,7 +85,8 @@ def required_inputs(run_dates: DataFrame) -> DataFrame:
 
 def missing_inputs(files: DataFrame, run_dates: DataFrame) -> DataFrame:
     """Required (run_date, filename) pairs that are not in the manifest."""
-    return required_inputs(run_dates).join(files.select("filename"), "filename", "left_anti").select("run_date", "filename")
+    present = files.select(plain_suffix(F.col("filename")).alias("filename"))
+    return required_inputs(run_dates).join(present, "filename", "left_anti").select("run_date", "filename")
 
 
 def check_raw_inputs(files: DataFrame, spark: SparkSession, run_date: dt.date) -> dict[str, object]:
@@ -83,7 +98,7 @@ def check_raw_inputs(files: DataFrame, spark: SparkSession, run_date: dt.date) -
     beams = workbooks(files).where(F.contains("filename", F.lit("complete_beam"))).take(1)
     return {
         "date": run_date.isoformat(),
-        "start_beam_path": files.where(F.col("filename") == f"{run_date}_start_beam.xlsx").select("path").take(1)[0]["path"],
+        "start_beam_path": find_snapshot(files.where(F.lower("filename").endswith(".xlsx")), run_date),
         "textile_days": True,
         "complete_beam": bool(beams),
     }

@@ -1,8 +1,8 @@
 """Worksheets of .xlsx files as long cells.
 
-A workbook cannot be split, so each (file, sheet) is read by one task; Spark
-spreads the sheets. Each sheet is parsed as a stream and leaves as Arrow-sized
-batches, so a task never holds a whole sheet.
+A workbook cannot be split, so the task that holds its bytes lists its sheets and reads their cells: the string table and the styles are parsed once a book and
+file contents never leave the task. Sheets are parsed as streams and leave as Arrow-sized batches, so a task holds the zipped book, its string table and
+one batch of cells, never a whole sheet. Spark spreads the books.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ import datetime as dt
 import io
 import re
 import zipfile
+from array import array
 from collections.abc import Iterator
 from xml.etree.ElementTree import iterparse
 
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CELL_SCHEMA = "source_file string, sheet_name string, row_idx int, col_idx int, value string, value_type string"
-SHEET_SCHEMA = "path string, sheet_name string, part string"
 BATCH = 20_000
 
 # Fixed values of the file format: built-in date formats and the tokens that make
@@ -48,17 +48,28 @@ def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     return found
 
 
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    texts = []
-    for _, e in iterparse(book.open("xl/sharedStrings.xml")):
-        if _tag(e) == "si":
-            # Phonetic runs (rPh) are reading aids, not text.
-            runs = [c for c in e if _tag(c) in ("t", "r")]
-            texts.append("".join(t.text or "" for r in runs for t in r.iter() if _tag(t) == "t"))
-            e.clear()
-    return texts
+class Strings:
+    """The shared strings of a book: one buffer of UTF-8 bytes and where each string starts in it."""
+
+    def __init__(self, book: zipfile.ZipFile):
+        self.buffer, self.starts = bytearray(), array("q", [0])
+        if "xl/sharedStrings.xml" not in book.namelist():
+            return
+        table = None
+        for event, e in iterparse(book.open("xl/sharedStrings.xml"), events=("start", "end")):
+            if table is None:
+                table = e
+            elif event == "end" and _tag(e) == "si":
+                # Phonetic runs (rPh) are reading aids, not text.
+                runs = [c for c in e if _tag(c) in ("t", "r")]
+                self.buffer += "".join(t.text or "" for r in runs for t in r.iter() if _tag(t) == "t").encode()
+                self.starts.append(len(self.buffer))
+                table.clear()
+
+    def __getitem__(self, k: int) -> str:
+        if not 0 <= k < len(self.starts) - 1:
+            raise ValueError(f"Shared string {k} of {len(self.starts) - 1}")
+        return self.buffer[self.starts[k]:self.starts[k + 1]].decode()
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:
@@ -93,14 +104,15 @@ def _column(reference: str) -> int:
     return number - 1
 
 
-def _cells(book: zipfile.ZipFile, part: str) -> Iterator[tuple[int, int, str, str]]:
-    strings, dates, base = _shared_strings(book), _date_styles(book), _base_date(book)
-    row, col = -1, -1
+def _cells(book: zipfile.ZipFile, part: str, strings: Strings, dates: set[int], base: dt.datetime) -> Iterator[tuple[int, int, str, str]]:
+    row, col, grid = -1, -1, None
     for event, e in iterparse(book.open(part), events=("start", "end")):
         name = _tag(e)
         if event == "start":
             if name == "row":
                 row, col = (int(e.get("r")) - 1 if e.get("r") else row + 1), -1
+            elif name == "sheetData":
+                grid = e
             continue
         if name == "c":
             col = _column(e.get("r")) if e.get("r") else col + 1
@@ -120,48 +132,45 @@ def _cells(book: zipfile.ZipFile, part: str) -> Iterator[tuple[int, int, str, st
                     yield row, col, str(base + dt.timedelta(seconds=round(float(raw) * 86_400))), "d"
                 elif kind == "n":
                     yield row, col, raw, "n"
-        elif name == "row":
-            e.clear()
+        elif name == "row" and grid is not None:
+            grid.clear()  # with the row itself
 
 
-def _list_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            if not path.lower().endswith(".xlsx"):
-                raise ValueError(f"Only .xlsx workbooks can be read: {path}")
-            with zipfile.ZipFile(io.BytesIO(content)) as book:
-                rows += [(path, name, part) for name, part in _sheets(book)]
-        yield pd.DataFrame(rows, columns=["path", "sheet_name", "part"])
+def _book_cells(path: str, content: bytes) -> Iterator[tuple[str, int, int, str, str]]:
+    """(sheet name, row, column, value, type) of all sheets in workbook order."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        strings, dates, base = Strings(book), _date_styles(book), _base_date(book)
+        for sheet, part in _sheets(book):
+            for cell in _cells(book, part, strings, dates, base):
+                yield sheet, *cell
 
 
-def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_books(batches: Iterator[pd.DataFrame], empty_fails: bool) -> Iterator[pd.DataFrame]:
     columns = ["source_file", "sheet_name", "row_idx", "col_idx", "value", "value_type"]
     for batch in batches:
-        for path, content, sheet, part in batch[["path", "content", "sheet_name", "part"]].itertuples(index=False):
-            with zipfile.ZipFile(io.BytesIO(content)) as book:
-                rows = []
-                for cell in _cells(book, part):
-                    rows.append((path, sheet, *cell))
-                    if len(rows) == BATCH:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-                if rows:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            if not path.lower().endswith(".xlsx"):
+                raise ValueError(f"Only .xlsx workbooks can be read: {path}")
+            rows, found = [], False
+            for cell in _book_cells(path, content):
+                rows.append((path, *cell))
+                found = True
+                if len(rows) == BATCH:
                     yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=columns)
+            if empty_fails and not found:
+                raise ValueError(f"Workbook without a cell: {path}")
 
 
-def read_cells(spark: SparkSession, paths: list[str] | str, pattern: str = "*.xlsx") -> DataFrame:
-    """All cells of the workbooks under ``paths``; editor lock files are skipped.
+def read_cells(spark: SparkSession, paths: list[str] | str, pattern: str = "*.[xX][lL][sS][xX]") -> DataFrame:
+    """All cells of the workbooks of a folder that match ``pattern``, or of the files of a list; editor lock files are skipped.
 
-    A workbook that cannot be read fails the load.
+    A workbook that cannot be read fails the load, and so does a listed one without any cell.
     """
-    books = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
-        .where(~F.element_at(F.split("path", "/"), -1).startswith("~$"))
-        .select("path", "content")
-    )
-    found = books.mapInPandas(_list_sheets, SHEET_SCHEMA)
-    # One row per sheet meets its file again, so that sheets of one workbook can
-    # be parsed by different tasks.
-    tasks = found.join(books, "path").repartition("path", "sheet_name")
-    return tasks.mapInPandas(_read_sheets, CELL_SCHEMA)
+    listed = not isinstance(paths, str)
+    reader = spark.read.format("binaryFile")
+    books = (reader if listed else reader.option("pathGlobFilter", pattern)).load(paths)
+    named = books.where(~F.element_at(F.split("path", "/"), -1).startswith("~$")).select("path", "content")
+    return named.mapInPandas(lambda batches: _read_books(batches, listed), CELL_SCHEMA)

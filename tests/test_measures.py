@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,53 @@ def test_cards_under_selections(spark, sel, in_range, mine):
     assert rows_of(got.columns, got.collect()) == rows_of([d[0] for d in cursor.description], cursor.fetchall())
 
 
+def operators(df) -> list[str]:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return re.findall(r"^\(\d+\) (\S+)", df._jdf.queryExecution().explainString(mode), re.M)
+
+
+def test_a_summary_reads_each_fact_once_and_a_report_one_date(spark, tmp_path):
+    status = [(day(n), m, 5.0, 5.0, 0.0, 0.0, 0.0) for n in range(1, 11) for m in ("A", "B", None)]
+    made = [(day(n), m, lot, 5.0, "k") for n in range(1, 9) for m in "AB" for lot in ("L", "M")]
+    plain = facts(spark, status, made, [("k", 10.0)])
+    for name in ("status", "production", "plans"):
+        getattr(plain, name).write.parquet(str(tmp_path / name))
+    stored = Gold(*[spark.read.parquet(str(tmp_path / n)) for n in ("status", "production", "plans")])
+    assert operators(ms.summary(stored).rows).count("Scan") == 3  # one each of the facts and the plans
+    kept = ms.stored_summary(stored)
+    for measure in (ms.production_totals, ms.status_totals, ms.critical_machines, ms.reporting_date, ms.at_reporting_date, ms.machine_counts_at_reporting_date,
+                    report.overview_cards, report.production_pulse, report.availability_pulse, report.loss_hotspots, report.plan_risk):
+        for sel in (ms.EVERYTHING, ms.Selection(day(2), day(5)), ms.Selection(machines=["B", "X"])):
+            assert measure(kept, sel).collect() == measure(plain, sel).collect(), measure
+    counts = ms.machines_at_reporting_date(kept)
+    assert "PartitionFilters: [isnotnull(date" in counts._jdf.queryExecution().executedPlan().toString()
+    assert "subquery" in counts._jdf.queryExecution().executedPlan().toString()
+    assert len(ms.machines_at_reporting_date(kept).collect()) == 2
+
+
+def test_row_checks_are_counted_while_a_table_is_written(spark):
+    status = spark.createDataFrame([(day(2), "A", 20.0, 5.0, 0.0, 0.0, 0.0), (day(2), None, -1.0, 0.0, 0.0, 0.0, 1.0)], STATUS)
+    name = "gld_machine_status_daily_fact"
+    checked = quality.store_checked(status, name)
+    assert checked.rows.count() == 2
+    assert {k: v for k, v in checked.broken.items() if v} == {"not_null:machine": 1, "hours_within_day": 2, "shutdown_within_window": 1}
+    lazy, known = (quality.summary({name: t}) for t in (status, checked))
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, lazy.collect()))
+    assert "parquet" not in known._jdf.queryExecution().executedPlan().toString().lower()  # nothing to read again
+
+
+def test_raw_checks(spark):
+    rows = spark.createDataFrame([("1", "m", "s", "2024-01-01"), ("1", "m", "s", "soon"), ("x", "m", "s", None)], "id string, machine_id string, status string, timestamp string")
+    found = {r["check_name"]: r["violations"] for r in quality.summary({"raw_machine_status": rows, "slv_complete_beam": None} | {}, "raw").collect()}
+    assert found == {"unreadable:id": 1, "unreadable:timestamp": 1, "unique_key": 1}
+
+
+def test_an_empty_table_passes_its_key_checks(spark):
+    none = spark.createDataFrame([], "machine string, is_in_status_fact boolean")
+    assert [(r["check_name"], r["violations"]) for r in quality.summary({"gld_machine_dim": none}).orderBy("check_name").collect()] == [
+        ("not_null:machine", 0), ("unique:machine", 0)]
+
+
 def test_checks_find_seeded_faults(spark):
     status = spark.createDataFrame(
         [(day(2), "A", 20.0, 5.0, 0.0, 0.0, 0.0), (day(2), "B", -1.0, 0.0, 0.0, 0.0, 1.0), (day(7), "C", 0.0, 0.0, 0.0, 0.0, 18.5)], STATUS)

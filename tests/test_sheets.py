@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import zipfile
 
 import pytest
 from pyspark.errors import PySparkException
@@ -110,3 +112,56 @@ def test_unreadable_workbook_fails_the_load(spark, tmp_path):
 def test_duplicate_names_get_numbers(spark):
     heads = spark.createDataFrame([("f", "s", i, n) for i, n in enumerate(["a", "b", "a", "a"])], "source_file string, sheet_name string, col_idx int, name string")
     assert [r["name"] for r in sheets.dedup_names(heads).orderBy("col_idx").collect()] == ["a", "b", "a_2", "a_3"]
+
+
+def operators(df) -> list[str]:
+    """Names of the operators of the initial plan."""
+    return re.findall(r"^\(\d+\) (\w+)", df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")), re.M)
+
+
+def test_the_sheet_pipeline_reads_the_body_once(spark, tmp_path, monkeypatch):
+    cells = grid(spark, {"WS": textile_sheet() + [(5, 0, "M-2", "s"), (5, 10, "5", "n")]})
+    cells.write.parquet(str(tmp_path / "cells"))
+    stored = spark.read.parquet(str(tmp_path / "cells"))
+    plans, store = [], sheets.store_stage
+    monkeypatch.setattr(sheets, "store_stage", lambda df, label: plans.append(df) or store(df, label))
+    out = sheets.textile_day_rows(stored)
+    assert len(rows(out)) == 2
+    # What was run: exchanges that are read again do not count, nor do the scans below them.
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    run = [line for line in final.splitlines() if "ReusedExchange" not in line]
+    exchanges = sum("Exchange hashpartitioning" in line for line in run) + operators(plans[0]).count("Exchange")
+    scans = sum("FileScan" in line and "/cells]" in line for line in run) + operators(plans[0]).count("Scan")
+    assert (scans, exchanges <= 6) == (2, True), final
+
+
+def test_a_header_far_right_and_a_triple_beside_the_machine(spark):
+    wide = [(3, 5, "2024-12-05", "d"), (2, 16_381, "12월 6일", "s"), (2, 16_383, "생산량", "s"), (4, 0, "3", "s"), (4, 5, "L", "s"), (4, 16_383, "4", "n")]
+    # The first column is the machine and, two left of an output header in column 2, a meter reading as well.
+    beside = [(3, 5, "2024-12-05", "d"), (2, 0, "12월 5일", "s"), (2, 2, "생산량", "s"), (4, 0, "3", "s"), (4, 5, "L", "s"), (4, 2, "4", "n")]
+    got = {r[0]: r[1:] for r in rows(sheets.textile_day_rows(grid(spark, {"A": wide, "B": beside}))) if r[2] != dt.date(2024, 12, 6)}
+    assert got == {"A": ("3", dt.date(2024, 12, 5), "L", None, None, None), "B": ("3", dt.date(2024, 12, 5), "L", 3.0, None, 4.0)}
+
+
+def test_a_workbook_is_read_in_one_pass(spark, tmp_path):
+    values = {(0, 0): "same", (0, 1): "same", (1, 0): "ü 생산량", (1, 1): 7}
+    write_xlsx(tmp_path / "A.XLSX", {"One": values, "Two": {(3, 2): "same"}, "Blank": {}})
+    write_xlsx(tmp_path / "~$A.XLSX", {"One": values})
+    cells = read_cells(spark, str(tmp_path))
+    assert {(r["sheet_name"], r["row_idx"], r["col_idx"], r["value"]) for r in cells.collect()} == {
+        ("One", 0, 0, "same"), ("One", 0, 1, "same"), ("One", 1, 0, "ü 생산량"), ("One", 1, 1, "7"), ("Two", 3, 2, "same")}
+    assert "Exchange" not in operators(cells) and operators(cells).count("MapInPandas") == 1
+
+
+def test_the_string_table_is_parsed_once_a_book(tmp_path, monkeypatch):
+    from loomline.sources import workbook
+
+    path = write_xlsx(tmp_path / "a.xlsx", {f"S{k}": {(0, 0): f"text {k}"} for k in range(5)})
+    made, strings = [], workbook.Strings
+    monkeypatch.setattr(workbook, "Strings", lambda book: made.append(1) or strings(book))
+    cells = list(workbook._book_cells(path, open(path, "rb").read()))
+    assert [c[0] for c in cells] == [f"S{k}" for k in range(5)] and len(made) == 1
+    table = strings(zipfile.ZipFile(path))
+    assert bytes(table.buffer) == b"text 0text 1text 2text 3text 4" and table[4] == "text 4"
+    with pytest.raises(ValueError, match="Shared string 5"):
+        table[5]
