@@ -34,6 +34,10 @@ from .simhash_tree import components, shingle_set
 CHUNK = 512
 WEIGHT = 1_024
 DOUBT = 4.5
+#: Weight of the blocks that a task takes up together, points of a block whose pairs are listed, and pairs compared at a time.
+TOGETHER = 2_048
+FEW = 48
+COMPARED = 20_000
 
 
 def universal(functions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,22 +91,53 @@ def matrix(cells: pd.Series, functions: int) -> np.ndarray:
     return np.frombuffer(b"".join(cells), "<u4").reshape(-1, functions)
 
 
-def possible(block: pd.DataFrame, band: int, rows: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a block, one of each side, of different labels, that pass the signature and meet in no earlier band; most alike first."""
-    functions = len(block["signature"].iloc[0]) // 4
-    left, right = (np.nonzero(block[side].to_numpy())[0] for side in ("left", "right"))
-    signatures, label = matrix(block["signature"], functions), pd.factorize(block["label"])[0]
-    same, earlier = shared(signatures[left], signatures[right], rows, band)
-    good = (same >= least) & ~earlier & (label[left][:, None] != label[right][None])
-    a, b = np.nonzero(good)
-    order = np.argsort(-same[a, b].astype(np.int64), kind="stable")
-    return left[a[order]], right[b[order]]
-
-
-def forest(block: pd.DataFrame, pairs: tuple[np.ndarray, np.ndarray], similarity: float) -> list[tuple[bytes, bytes]]:
+def listed(places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All index pairs within small blocks that begin at ``places``."""
+    made = [(np.empty(0, np.int64),) * 2]
+    for size in np.unique(sizes[sizes > 1]):
+        first, second = np.triu_indices(size, 1)
+        starts = places[sizes == size][:, None]
+        made.append(((starts + first).ravel(), (starts + second).ravel()))
+    return tuple(np.concatenate([m[k] for m in made]) for k in range(2))
+
+
+def possible(part: pd.DataFrame, rows: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within the blocks of ``part`` (sorted by block), one point of each side, of different labels, that pass the signature and meet in no earlier
+    band; most alike first.
+    """
+    functions = len(part["signature"].iloc[0]) // 4
+    signatures, label = matrix(part["signature"], functions), pd.factorize(part["label"])[0]
+    left, right, band = part["left"].to_numpy(), part["right"].to_numpy(), part["band"].to_numpy()
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(part["block"].to_numpy()) != 0)))
+    sizes = np.diff(np.append(starts, len(part)))
+    made = []
+    first, second = listed(starts[sizes <= FEW], sizes[sizes <= FEW])
+    sided = (label[first] != label[second]) & (left[first] & right[second] | left[second] & right[first])
+    first, second = first[sided], second[sided]
+    for at in range(0, len(first), COMPARED):
+        a, b = first[at:at + COMPARED], second[at:at + COMPARED]
+        equal = signatures[a] == signatures[b]
+        same = equal.sum(axis=1)
+        met = equal.reshape(len(a), -1, rows).all(axis=2).argmax(axis=1)
+        good = (same >= least) & (met == band[a])
+        made.append((a[good], b[good], same[good].astype(np.int64)))
+    for start, size in zip(starts[sizes > FEW], sizes[sizes > FEW]):
+        own = np.arange(start, start + size)
+        ours, theirs = own[left[own]], own[right[own]]
+        same, earlier = shared(signatures[ours], signatures[theirs], rows, int(band[start]))
+        a, b = np.nonzero((same >= least) & ~earlier & (label[ours][:, None] != label[theirs][None]))
+        made.append((ours[a], theirs[b], same[a, b].astype(np.int64)))
+    if not made:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b, same = (np.concatenate([m[k] for m in made]) for k in range(3))
+    order = np.argsort(-same, kind="stable")
+    return a[order], b[order]
+
+
+def forest(part: pd.DataFrame, pairs: tuple[np.ndarray, np.ndarray], similarity: float) -> list[tuple[bytes, bytes]]:
     """Links among the pairs that hold on full sets, without those between points joined already."""
-    prints, sets = block["print"].to_numpy(), [None if s is None else np.frombuffer(s, np.uint64) for s in block["set"]]
-    label = pd.factorize(block["label"])[0].copy()
+    prints, sets = part["print"].to_numpy(), [np.frombuffer(s, np.uint64) for s in part["set"]]
+    label = pd.factorize(part["label"])[0].copy()
     found = []
     for a, b in zip(pairs[0].tolist(), pairs[1].tolist()):
         if label[a] != label[b] and alike(sets[a], sets[b], similarity):
@@ -199,7 +234,8 @@ def chunk_links(points: Points, members: DataFrame, labels: DataFrame, sets: Dat
     dealt = weighed.join(rest, bucket).select(*bucket, "label", "alone", F.ceil(F.col("weight") / CHUNK).alias("own"), "rest")
     part = F.when(F.col("alone"), F.pmod(F.xxhash64("print"), F.col("own"))).otherwise(F.pmod(F.xxhash64("label"), F.col("rest")))
     pure = F.when(F.col("alone"), F.col("label"))
-    placed = store_stage(labelled.join(dealt, [*bucket, "label"]).select(*bucket, "print", "label", F.struct(pure.alias("pure"), part.alias("part")).alias("chunk")), "placed")
+    chunk = F.struct(pure.alias("pure"), part.alias("part")).alias("chunk")
+    placed = store_stage(labelled.join(dealt, [*bucket, "label"]).select(*bucket, "print", "label", "n_shingles", chunk), "placed")
 
     chunks = placed.select(*bucket, "chunk").distinct()
     crossed = chunks.withColumnRenamed("chunk", "a").join(chunks.withColumnRenamed("chunk", "b"), bucket).where(
@@ -209,19 +245,27 @@ def chunk_links(points: Points, members: DataFrame, labels: DataFrame, sets: Dat
     sides = crossed.select(*bucket, "block", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"), "a", "b").select(
         *bucket, "block", "chunk", (F.col("chunk") == F.col("a")).alias("left"), (F.col("chunk") == F.col("b")).alias("right")
     )
-    blocks = placed.join(sides, [*bucket, "chunk"]).select("band", "key", "block", "print", "label", "left", "right")
-    signed = blocks.join(points.points.select("print", "signature"), "print")
-    kept = "band int, key long, block long, print binary, label binary, left boolean, right boolean, signature binary"
-
-    def name(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        pairs = possible(block, key[0], rows, least)
-        return block.iloc[np.unique(np.concatenate(pairs))][["band", "key", "block", "print", "label", "left", "right", "signature"]]
-
-    def solve(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(forest(block, possible(block, key[0], rows, least), similarity), columns=["a", "b"])
-
-    named = store_stage(signed.groupBy("band", "key", "block").applyInPandas(name, kept), "named")
-    return store_stage(named.join(sets, "print").groupBy("band", "key", "block").applyInPandas(solve, "a binary, b binary"), "links")
+    blocks = placed.join(sides, [*bucket, "chunk"]).select("band", "block", "print", "label", "left", "right", "n_shingles")
+    blocks = store_stage(blocks, "blocks")
+    # Blocks are taken up together, as many as weigh about the same whatever their size: most have two or three points.
+    weight = blocks.agg(F.coalesce(F.sum(1 + F.col("n_shingles") / WEIGHT), F.lit(0.0))).first()[0]
+    groups = max(1, int(weight / TOGETHER))
+    signed = blocks.drop("n_shingles").join(points.points.select("print", "signature"), "print")
+    kept = "band int, block long, print binary, label binary, left boolean, right boolean, signature binary"
+
+    def name(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop(columns="group").sort_values(["block", "print"], ignore_index=True)
+        return part.iloc[np.unique(np.concatenate(possible(part, rows, least)))][["band", "block", "print", "label", "left", "right", "signature"]]
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["block", "print"], ignore_index=True)
+        return pd.DataFrame(forest(part, possible(part, rows, least), similarity), columns=["a", "b"])
+
+    def grouped(frame: DataFrame):
+        return frame.withColumn("group", F.pmod(F.col("block"), F.lit(groups))).groupBy("group")
+
+    named = store_stage(grouped(signed).applyInPandas(name, kept), "named")
+    return store_stage(grouped(named.join(sets, "print")).applyInPandas(solve, "a binary, b binary"), "links")
 
 
 def cluster(docs: DataFrame, width: int = 4, similarity: float = 0.8, bands: int = 32, rows: int = 5) -> DataFrame:
