@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -78,12 +79,12 @@ class ByteTokenizer:
 
     def encode(self, text: str) -> list[int]:
         # Very long runs of blanks are beyond the pattern engine of the short way.
-        if self.ranked is None or len(text) > 10_000 and " " * 2_000 in text.translate(BLANK_RUNS):
+        if self.ranked is None or len(text) > 10_000 and LONG_BLANKS.search(text):
             return self.exact(text)
         return self.ranked.encode_ordinary(text)
 
 
-BLANK_RUNS = {k: " " for k in (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
+LONG_BLANKS = re.compile(r"\s{2000}")
 
 
 class PieceTokenizer:
@@ -116,14 +117,17 @@ class Aligner:
         # Text of id and separator: id 2k within a group, 2k + 1 at the end of a group's side.
         self.spelled = [s for k in range(len(self.a.bytes_of)) for s in (f"{k},", f"{k}|")] + [s for k in range(self.b_ids) for s in (f"{k},", f"{k};")]
 
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of each text by both tokenizers; None where the text has no tokens."""
         found = []
         for text, b in zip(texts, self.b.encode_all(texts)):
             raw = b" " + text.encode("utf-8", "surrogatepass")
             a = self.a.encode(" " + text) if text else []
-            same = text and b"".join(map(self.a.bytes_of.__getitem__, a)) == raw and b"".join(map(self.b.bytes_of.__getitem__, b)) == raw
-            found.append((a, b) if same else None)
+            same = text and b"".join(map(self.b.bytes_of.__getitem__, b)) == raw
+            # Byte-level BPE by ranks gives back what it was given; the lengths tell whether its pattern left something out.
+            if same and self.a.ranked is None:
+                same = b"".join(map(self.a.bytes_of.__getitem__, a)) == raw
+            found.append((np.array(a, np.int64), np.array(b, np.int64)) if same and self.a_sizes[a].sum() == len(raw) else None)
         return found
 
     def links(self, texts: list[str], keep_groups: bool) -> tuple[list[tuple], np.ndarray, np.ndarray]:
@@ -133,13 +137,15 @@ class Aligner:
         own = [k for k, f in enumerate(found) if f]
         if not own:
             return rows, np.empty((2, 0), np.int64), np.empty(0, np.int64)
-        a_ids, b_ids = (np.concatenate([np.array(found[k][side], np.int64) for k in own]) for side in (0, 1))
+        a_ids, b_ids = (np.concatenate([found[k][side] for k in own]) for side in (0, 1))
         n_a, n_b = (np.array([len(found[k][side]) for k in own], np.int64) for side in (0, 1))
         # Both sides spell the same bytes, so ends over all texts of the slice are comparable.
         a_ends, b_ends = self.a_sizes[a_ids].cumsum(), self.b_sizes[b_ids].cumsum()
         text_ends = a_ends[n_a.cumsum() - 1]
-        ends = np.union1d(a_ends, b_ends)
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        merged = np.concatenate((a_ends, b_ends))
+        merged.sort(kind="stable")  # two runs in order
+        again = merged[1:] == merged[:-1]
+        ends, common = merged[np.append(~again, True)], merged[1:][again]
         linked_a, linked_b = a_ids[np.searchsorted(a_ends, ends)], b_ids[np.searchsorted(b_ends, ends)]
         of_text = np.searchsorted(text_ends, ends)
         n_links = np.bincount(of_text, minlength=len(own))
@@ -156,7 +162,10 @@ class Aligner:
             rows[k] = (na, nb, groups, links, hashlib.sha256(text.encode()).hexdigest(), text if keep_groups else None)
 
         pairs = len(self.a.bytes_of) * self.b_ids
-        keys, times = np.unique(of_text * pairs + linked_a * self.b_ids + linked_b, return_counts=True)
+        every = of_text * pairs + linked_a * self.b_ids + linked_b
+        every.sort()
+        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+        keys, times = every[first], np.diff(np.append(first, len(every)))
         return rows, np.stack((np.array(own, np.int64)[keys // pairs], keys % pairs)), times
 
 
