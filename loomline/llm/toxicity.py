@@ -24,6 +24,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -43,11 +44,25 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(WORDS).split()
 
 
+def word_hash(word: bytes) -> int:
+    """Words are known by 63 bits of their hash, which a sorted array holds in 8 bytes a word."""
+    return xxhash.xxh3_64_intdigest(word) >> 1
+
+
+def word_numbers(words: list[bytes], known: np.ndarray) -> np.ndarray:
+    """Place of each word in the sorted hashes, from 1 on; 0 where it is unknown."""
+    if not len(known):
+        return np.zeros(len(words), np.int64)
+    hashes = np.fromiter(map(word_hash, words), np.int64, len(words))
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at + 1, 0)
+
+
 @dataclass
 class Model:
     """Counts by word number (0: unknown); class 0 is ordinary, class 1 toxic."""
 
-    number: dict[bytes, int]
+    known: np.ndarray  # sorted hashes of the words
     pair_keys: np.ndarray  # sorted; first word * size + second
     pair_ratio: np.ndarray  # log-likelihood ratio of pairs
     pair_firm: np.ndarray  # whether it is firm
@@ -59,8 +74,7 @@ class Model:
 
     def ratios(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Log-likelihood ratio of every word after its predecessor, and what of it is firm."""
-        get = self.number.get
-        ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+        ids = word_numbers(words, self.known)
         before = np.concatenate(([0], ids[:-1]))
         single, given = self.word_ratio[ids] + self.history[before], self.word_ratio[ids] * self.firm[0, ids] + self.history[before] * self.firm[1, before]
         if not len(self.pair_keys):
@@ -155,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
     sizes = {r["_toxic"]: r["count"] for r in marks.groupBy("_toxic").count().collect()}
     prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
     flat = np.array([np.log((prior + 1e-9) / (1 - prior + 1e-9)), 0.0, 0.0, 0.0])
-    empty = Model({}, np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), np.zeros(1), np.zeros(1), np.zeros((2, 1), bool), flat, prior)
+    empty = Model(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), np.zeros(1), np.zeros(1), np.zeros((2, 1), bool), flat, prior)
     if min(sizes.get(0, 0), sizes.get(1, 0)) < 5:
         return empty
     order = Window.partitionBy("_toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -171,33 +185,31 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_docs: int = 12_00
             n: Counter = Counter()
             for text in part["text"]:
                 n.update(set(words_of(text)))
-            yield pd.DataFrame({"word": pd.Series(list(n), dtype=object), "n": pd.Series(list(n.values()), dtype="int64")})
+            yield pd.DataFrame({"word": pd.Series([word_hash(w) for w in n], dtype="int64"), "n": pd.Series(list(n.values()), dtype="int64")})
 
-    vocabulary = learned.mapInPandas(count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    vocabulary = to_pandas(vocabulary.orderBy(F.desc("n"), "word").limit(MAX_WORDS - 1).select("word"))["word"]
-    numbers = {bytes(w): k + 1 for k, w in enumerate(vocabulary)}
+    vocabulary = learned.mapInPandas(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    vocabulary = vocabulary.orderBy(F.desc("n"), "word").limit(MAX_WORDS - 1).select("word").toArrow().column("word").to_numpy()
+    numbers = np.sort(vocabulary)
     size = len(numbers) + 1
     shared = spark.sparkContext.broadcast(numbers)
 
     def count_pairs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shared.value.get
         for part in parts:
             for at in range(0, len(part), 500):
                 rows = part.iloc[at:at + 500]
                 for c, texts in rows["text"].groupby((rows["_toxic"] > 0).astype(int)):
                     keys = []
                     for text in texts:
-                        ids = np.fromiter((get(w, 0) for w in (b"", *words_of(text))), np.int64)
+                        ids = np.concatenate(([0], word_numbers(words_of(text), shared.value)))
                         keys.append(np.unique(ids[:-1] * size + ids[1:]))
                     key, n = np.unique(np.concatenate(keys), return_counts=True)
                     yield pd.DataFrame({"key": key, "n0": n * (c == 0), "n1": n * (c == 1)})
 
     def count_docs(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shared.value.get
         for part in parts:
             n = np.zeros((2, size), np.int64)
             for text, toxic in zip(part["text"], part["_toxic"]):
-                n[int(toxic > 0), list({get(w, 0) for w in words_of(text)})] += 1
+                n[int(toxic > 0), np.unique(word_numbers(words_of(text), shared.value))] += 1
             w = np.nonzero(n.any(axis=0))[0]
             yield pd.DataFrame({"w": w, "n0": n[0, w], "n1": n[1, w]})
 
