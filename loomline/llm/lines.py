@@ -19,8 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import store_stage
 from .common import BLANKS, NO_ID, free_name, unclash
 
+#: Tasks over which the documents of one line are spread.
+SALTS = 16
+
 
 def line_key(line: str) -> str:
     """Blanks stripped at both ends, A-Z lower-cased; other letters as they are."""
@@ -51,6 +55,7 @@ def frequent_lines(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[Data
     held = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")
     ).mapInPandas(keys, "_doc long, _key binary")
+    held = store_stage(held, "keys")
     counted = held.groupBy("_key").agg(F.countDistinct("_doc").alias("_docs"), F.max("_doc").alias("_keeper"))
     return held, counted.where(F.col("_docs") >= min_docs).select("_key", "_keeper")
 
@@ -59,9 +64,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     """``docs`` with repeated lines removed from ``text``, and ``n_lines`` (before) and ``n_dropped`` added."""
     docs = unclash(docs, ("n_lines", "n_dropped"))
     held, frequent = frequent_lines(docs, min_chars, min_docs)
+    # A line that very many documents hold meets its keeper in several tasks.
+    salted = frequent.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     drops = (
-        held.join(frequent, "_key").where(F.col("_doc") != F.col("_keeper"))
-        .groupBy("_doc").agg(F.collect_set("_key").alias("_drop"))
+        held.withColumn("_salt", F.pmod(F.xxhash64("_doc"), F.lit(SALTS)).cast("int")).join(salted, ["_key", "_salt"])
+        .where(F.col("_doc") != F.col("_keeper")).groupBy("_doc").agg(F.collect_set("_key").alias("_drop"))
     )
     owner, drop = free_name(docs, "_owner"), free_name(docs, "_drop")
     joined = docs.withColumn(owner, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(
@@ -82,7 +89,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
 
     done = free_name(docs, "_cut")
     return joined.withColumn(done, cut_lines("text", drop)).select(
-        *[F.col(f"`{done}`.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[F.col(f"`{done}`.text").alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns],
         F.col(f"`{done}`.n_lines").alias("n_lines"), F.col(f"`{done}`.n_dropped").alias("n_dropped"),
     )
 
