@@ -191,8 +191,7 @@ def mix(docs: DataFrame, block: int = 64, weights=WEIGHTS, most: float = 3.0, se
     numbers = spark.createDataFrame(
         [(s.source, k) for k, s in enumerate(planned)], "_name string, _source int"
     )
-    # One row per source, and the plan is on the driver already: small enough to broadcast.
-    known = sized.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
+    known = sized.join(numbers, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     laid = store_stage(running_start(known, "_source", "_size", ("_doc", "_row")), "laid")
     spans = laid.where(F.col("_size") > 0).select(
         "_source", "_start", "_size",
@@ -201,7 +200,9 @@ def mix(docs: DataFrame, block: int = 64, weights=WEIGHTS, most: float = 3.0, se
         "_low": F.greatest(F.lit(0), F.col("_start") - F.col("_block") * block),
         "_high": F.least(F.lit(block), F.col("_start") + F.col("_size") - F.col("_block") * block),
     })
-    taken = spans.join(slots(spark, planned, block, seed), ["_source", "_block"]).withColumn(
+    # Stored, so that the planner knows their size: they grow with the input.
+    drawn = store_stage(slots(spark, planned, block, seed), "slots")
+    taken = spans.join(drawn, ["_source", "_block"]).withColumn(
         "_high", F.least("_high", "_cut")
     ).where(F.col("_high") > F.col("_low")).select(
         "_source", "_start", "_epoch", "_shard", "_block",
@@ -211,7 +212,17 @@ def mix(docs: DataFrame, block: int = 64, weights=WEIGHTS, most: float = 3.0, se
 
 
 def mixed_texts(docs: DataFrame, block: int = 512, weights=WEIGHTS, most: float = 3.0, seed: int = 17) -> DataFrame:
-    """The mix as rows like ``docs``: one per document, pass and unbroken stretch of words taken in it, ``text`` cut to the stretch, ``n_chars`` its length."""
+    """The mix as rows like ``docs``: one per document, pass and unbroken stretch of words taken in it, ``text`` cut to the stretch, ``n_chars`` its length.
+
+    Further columns come along under any name.
+    """
+    given = docs.columns
+    # Inside, no column of the caller can have the name of a made one.
+    inner = [c.lower() if c.lower() in ("doc_id", "text", "source", "n_chars") else f"own_{k}" for k, c in enumerate(given)]
+    return _mixed_rows(docs.toDF(*inner), block, weights, most, seed).toDF(*given)
+
+
+def _mixed_rows(docs: DataFrame, block: int, weights, most: float, seed: int) -> DataFrame:
     laid, taken, _ = mix(docs, block, weights, most, seed)
     stretches = taken.groupBy("_source", "_start", "_epoch").agg(F.sort_array(F.collect_list(F.struct("_from", "_to"))).alias("_spans"))
 
@@ -247,4 +258,4 @@ def digest(docs: DataFrame, block: int = 64) -> DataFrame:
     # Rows without words share the start of their successor; they take nothing.
     joined = laid.join(totals, ["_source", "_start"], "left").withColumn("taken", F.when(F.col("_size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)))
     about = docs.sparkSession.createDataFrame([(k, s.size, float(s.target)) for k, s in enumerate(planned)], "_source int, source_size long, target double")
-    return joined.join(F.broadcast(about), "_source").select("doc_id", F.col("_size").alias("size"), "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return joined.join(about, "_source").select("doc_id", F.col("_size").alias("size"), "source_size", "target", F.col("taken").cast("long").alias("taken"))
