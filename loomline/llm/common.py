@@ -14,6 +14,9 @@ from ..sources.tables import store_stage
 #: White space of the word rule: space and the five ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
+#: Bytes of rows that go to a Python worker at once, where the session sets no limit of its own: texts may be of any length.
+BATCH_BYTES = 8_000_000
+_BATCH_SETTING, _NO_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", str(2**31 - 1)
 #: Mean rows of a bucket in which rows are ordered.
 BUCKET_ROWS = 256
 
@@ -21,8 +24,10 @@ BUCKET_ROWS = 256
 def importable(spark: SparkSession) -> None:
     """Let Python workers that start from now on import this library where the driver found it.
 
-    Where it is installed, or on the workers' path already, that changes nothing.
+    Where it is installed, or on the workers' path already, that changes nothing. Batches of rows for these workers are bounded by bytes from now on.
     """
+    if spark.conf.get(_BATCH_SETTING, _NO_LIMIT) in (_NO_LIMIT, f"{_NO_LIMIT}b"):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
