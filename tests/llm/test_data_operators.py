@@ -118,6 +118,24 @@ def test_mix(spark):
     assert mixing.digest(docs.limit(0)).count() == 0 and mixing.mixed_texts(docs.where("doc_id = 200")).count() == 0
 
 
+def test_mixed_texts_keep_columns_of_any_name(spark):
+    docs = documents(spark, mixed_rows())
+    plain = Counter(tuple(r) for r in mixing.mixed_texts(docs, block=16).collect())
+    clash = docs.withColumns({c: F.lit("own") for c in ("_source", "_start", "_size", "_bucket", "_text", "_spans", "_base", "_DOC", "_row", "own_1")})
+    got = mixing.mixed_texts(clash, block=16)
+    assert got.columns == clash.columns
+    assert Counter(tuple(r)[:len(docs.columns)] for r in got.collect()) == plain and got.where("_source = 'own' and _spans = 'own'").count() == sum(plain.values())
+
+
+def test_the_mix_is_not_broadcast(spark):
+    docs = documents(spark, mixed_rows())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastExchange" not in mixing.digest(docs, block=16)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def brute_top(vectors, k=10):
     whole = {}
     rows = []

@@ -181,7 +181,7 @@ def test_token_alignment(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(expected, key=str)
     # Blocks of few entries and few documents: counts add up over blocks.
     monkeypatch.setattr(token_align, "SLICE", 300)
-    monkeypatch.setattr(token_align, "BLOCK_ENTRIES", 500)
+    monkeypatch.setattr(token_align, "BLOCK_ENTRIES", 100)
     stage = token_align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), keep_groups=True)
     assert stage.where("bits is not null").select("block").distinct().count() > 5
     pairs = token_align.pair_counts(stage, 32_000)

@@ -53,6 +53,30 @@ def test_line_dedup(spark):
     assert out.columns == [*docs.columns, "_drop", "_cut", "n_lines", "n_dropped"] and out.count() == len(rows)
 
 
+def test_line_dedup_cuts_texts_under_any_spelling(spark):
+    docs, rows = messy(spark)
+    plain = {(str(r["doc_id"]), r["n_dropped"], r["text"]) for r in lines.dedup_lines(docs).collect()}
+    out = lines.dedup_lines(docs.withColumnRenamed("text", "Text"))
+    assert out.columns[1] == "Text" and {(str(r["doc_id"]), r["n_dropped"], r["Text"]) for r in out.collect()} == plain
+    assert any(n for _, n, _ in plain)
+
+
+def test_batches_for_workers_are_bounded_by_bytes(spark):
+    from loomline.llm import common
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, str(2**31 - 1))
+        common.importable(spark)
+        assert spark.conf.get(setting).rstrip("b") == str(common.BATCH_BYTES)
+        spark.conf.set(setting, "1000000")  # what the session sets itself stays
+        common.importable(spark)
+        assert spark.conf.get(setting).rstrip("b") == "1000000"
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_line_quality(spark):
     docs, rows = messy(spark)
     # Three hosts; a limit of two documents makes the shared line common in each.
