@@ -87,3 +87,16 @@ def with_start_beam_flag(production: DataFrame, plans: DataFrame) -> DataFrame:
         .withColumn("is_start_beam", F.col("_starts").isNotNull())
         .drop("_starts")
     )
+
+
+def keep_and_flag(production: DataFrame, status: DataFrame, plans: DataFrame) -> DataFrame:
+    """``keep_status_machines`` and ``with_start_beam_flag`` by one join on the machine.
+
+    Status and plans are reduced to a row per machine with its start days, which are bounded by the calendar, so production is shuffled once for both, and
+    adaptive execution may split a machine that holds very many rows.
+    """
+    told = status.select("machine", F.lit(None).cast("date").alias("_start"), F.lit(True).alias("_told"))
+    starts = plans.select("machine", F.col("beam_start_date").alias("_start"), F.lit(False).alias("_told"))
+    known = told.unionByName(starts).groupBy("machine").agg(F.bool_or("_told").alias("_told"), F.collect_set("_start").alias("_starts"))
+    joined = production.join(known.where("_told"), "machine")
+    return joined.withColumn("is_start_beam", F.array_contains("_starts", F.col("date"))).select(*production.columns, "is_start_beam")

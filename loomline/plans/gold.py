@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.asof import asof_plan_join, keep_status_machines, with_start_beam_flag
+from ..operators.asof import asof_plan_join, keep_and_flag
 from ..operators.intervals import machine_status_daily_fact
 from ..operators.versions import latest_version
 
@@ -54,8 +54,7 @@ def production_daily_fact(textile: DataFrame, status: DataFrame, plans: DataFram
     ``status`` is anything with one or more rows per status machine: the status
     fact, or ``status_machines`` of the silver events.
     """
-    kept = keep_status_machines(textile, status)
-    matched = asof_plan_join(with_start_beam_flag(kept, plans), plans)
+    matched = asof_plan_join(keep_and_flag(textile, status, plans), plans)
     return matched.select(
         "date",
         "machine",

@@ -72,3 +72,24 @@ def test_date_dim_iso_week(spark):
     rows = gold.date_dim(some, some, some).orderBy("date").collect()
     assert [(r["date_key"], r["week_of_year"], r["iso_day_of_week"], r["is_weekend"]) for r in rows] == [
         (20201231, 53, 4, False), (20210101, 53, 5, False), (20210102, 53, 6, True), (20210103, 53, 7, True)]
+
+
+def test_the_production_fact_shuffles_four_times(spark, tmp_path):
+    day = dt.date(2024, 1, 2)
+    made = [(day, "A", "L", 1.0, 1.0, 1.0), (day, "B", "L", 2.0, 1.0, 1.0), (day, None, "L", 3.0, 1.0, 1.0), (dt.date(2024, 1, 1), "A", "M", 4.0, 1.0, 1.0)]
+    textile = spark.createDataFrame(made, "date date, machine string, lot string, production_qty_mts double, meter_reading_m double, cut_length_m double")
+    plans = spark.createDataFrame([("k", "A", "L", "B1", day), ("j", "A", "N", None, None)], "beam_plan_key string, machine string, lot string, beam_no string, beam_start_date date")
+    status = spark.createDataFrame([("A",), ("A",), (None,), ("C",)], "machine string")
+    for name, df in (("t", textile), ("p", plans), ("s", status)):
+        df.write.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.production_daily_fact(*[spark.read.parquet(str(tmp_path / n)) for n in "tsp"])
+        assert fact._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 4
+        got = sorted((r["date"].day, r["machine"], r["lot"], r["is_start_beam"], r["beam_plan_key"]) for r in fact.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(1, "A", "M", False, None), (2, "A", "L", True, "k")]
+    one_by_one = asof.with_start_beam_flag(asof.keep_status_machines(textile, status), plans)
+    assert sorted(map(str, one_by_one.select("date", "machine", "lot", "is_start_beam").collect())) == sorted(
+        map(str, asof.keep_and_flag(textile, status, plans).select("date", "machine", "lot", "is_start_beam").collect()))
