@@ -75,13 +75,13 @@ def base_counts(text: Column, words: Column, lines: Column) -> dict[str, Column]
 
 
 def judge(
-    docs: DataFrame, host: str = "source", min_docs: int = 20, host_share: float = 0.01,
+    docs: DataFrame, host: str = "source", min_docs: int = 20, host_share: float = 0.0,
     min_words: int = 50, max_repeat_percent: int = 50, min_left_percent: int = 50,
 ) -> DataFrame:
     """``docs`` without the removed lines of ``text``, with base counts, ``base_failed``, ``n_removed_words`` and ``kept``.
 
-    A line's limit in a host is ``max(min_docs, host_share * documents of the host)``; beyond it, the line is removed. A document is depleted when fewer than
-    ``min_words`` words or under ``min_left_percent`` of its words are left.
+    A line in more than ``min_docs`` documents of a host is removed, however large the host is; with ``host_share`` it must also be in more than that share of
+    the host's documents. A document is depleted when fewer than ``min_words`` words or under ``min_left_percent`` of its words are left.
     """
     docs = unclash(docs, MADE)
     names = {n: free_name(docs, f"_{n}") for n in ("words", "lines", "row", "host", "doc", "gone", "left")}
@@ -104,12 +104,11 @@ def judge(
         F.col(names["doc"]).alias("_doc"), F.col(names["row"]).alias("_row"), F.col(names["host"]).alias("_host"),
         F.explode(lines).alias("_line"),
     ).select("_doc", "_row", line_key(F.col("_line"), F.col("_host")).alias("_key"), "_host")
-    sizes = marked.groupBy(F.col(names["host"]).alias("_host")).agg(F.count(F.lit(1)).alias("_host_docs"))
-    common = (
-        held.groupBy("_host", "_key").agg(F.countDistinct("_doc").alias("_docs")).where(F.col("_docs") > min_docs)
-        .join(sizes, "_host").where(F.col("_docs") > F.col("_host_docs") * host_share).select("_key")
-    )
-    # At most the common lines of a host per document: their number is bounded by the host's mean lines over its share.
+    common = held.groupBy("_host", "_key").agg(F.countDistinct("_doc").alias("_docs")).where(F.col("_docs") > min_docs)
+    if host_share:
+        sizes = marked.groupBy(F.col(names["host"]).alias("_host")).agg(F.countDistinct(names["doc"]).alias("_host_docs"))
+        common = common.join(sizes, "_host").where(F.col("_docs") > F.col("_host_docs") * host_share)
+    common = common.select("_key")
     removed = held.join(common, "_key").groupBy("_doc", "_row").agg(F.collect_set("_key").alias("_gone"))
 
     out = counted.join(
@@ -144,11 +143,8 @@ with docs as (
     len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as n
   from (select row_id, doc_id, source, unnest(parts) as line from docs)
   where regexp_matches(line, '[^\\x20\\x09-\\x0D]')
-), hosts as (
-  select source, count(*) as host_docs from docs group by source
 ), common as (
-  select l.source, l.key from lines l join hosts h on l.source is not distinct from h.source
-  group by l.source, l.key, h.host_docs having count(distinct l.doc_id) > 20 and count(distinct l.doc_id) > h.host_docs * 0.01
+  select source, key from lines group by source, key having count(distinct doc_id) > 20
 ), removed as (
   select l.row_id, sum(n) as n from lines l join common c on l.key = c.key and l.source is not distinct from c.source group by l.row_id
 ), dups as (

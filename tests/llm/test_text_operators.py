@@ -370,6 +370,16 @@ def test_lines_above_the_limit_leave_the_text(spark):
     assert got.columns[:5] == docs.columns and any(a != str(t) for (_, a), (_, t, *_) in zip(expected, rows))
 
 
+def test_the_limit_of_a_line_does_not_follow_its_host(spark):
+    common = "This line stands in twenty five documents of whichever host"
+    rows = [(k, f"{common}\n" + " ".join(f"w{k}x{n}" for n in range(80)), "en", "hot" if k < 25 else "small") for k in range(50)]
+    rows += [(100 + k, f"line of document {k}", "en", "hot") for k in range(4000)]
+    got = line_quality.judge(documents(spark, rows)).where("doc_id < 50").select("text", "n_removed_words").collect()
+    assert {r["n_removed_words"] for r in got} == {len(common.split())} and not any(common in r["text"] for r in got)
+    loose = line_quality.judge(documents(spark, rows), host_share=0.01).where("n_removed_words > 0")
+    assert {r["source"] for r in loose.collect()} == {"small"}
+
+
 def test_languages_behind_a_shared_opening(spark):
     """Texts of all languages open with the same long notice, which tells nothing."""
     rng = np.random.default_rng(12)
