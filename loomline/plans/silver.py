@@ -6,7 +6,7 @@ already holds is in ``operators.incremental``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casting import after_epoch, to_bigint, to_date, to_double, to_timestamp
@@ -26,6 +26,11 @@ def dealt(raw: DataFrame, *columns: str) -> DataFrame:
     return raw.select(*columns).repartition(*columns)
 
 
+def parsed(condition: Column) -> Column:
+    """A condition on parsed values, tested where it stands: one that names its task is not moved below the exchange, where few tasks would parse for it."""
+    return F.when(F.spark_partition_id() >= 0, condition)
+
+
 def machine_status(raw: DataFrame) -> DataFrame:
     """Status events. An unreadable id, machine or time drops the row; status may be NULL."""
     rows = dealt(raw, "id", "machine_id", "status", "timestamp")
@@ -38,7 +43,7 @@ def machine_status(raw: DataFrame) -> DataFrame:
             F.lower(clean_text(F.col("status"))).alias("status"),
             to_timestamp(F.col("timestamp")).alias("timestamp"),
         )
-        .where("id is not null and timestamp is not null")
+        .where(parsed(F.col("id").isNotNull() & F.col("timestamp").isNotNull()))
         .withColumn("date", F.col("timestamp").cast("date"))
     )
 
@@ -59,7 +64,7 @@ def complete_beam(raw: DataFrame) -> DataFrame:
             clean_text(F.col("worker")).alias("worker"),
             clean_code(F.col("qty_unit")).alias("qty_unit"),
         )
-        .where("date is not null")
+        .where(parsed(F.col("date").isNotNull()))
     )
 
 
@@ -77,7 +82,7 @@ def textile_days_typed(raw: DataFrame) -> DataFrame:
             to_double(F.col("meter_reading_m")).alias("meter_reading_m"),
             to_double(F.col("cut_length_m")).alias("cut_length_m"),
         )
-        .where("date is not null")
+        .where(parsed(F.col("date").isNotNull()))
     )
 
 
@@ -108,7 +113,7 @@ def start_beam_typed(raw: DataFrame, incremental: bool = False) -> DataFrame:
             to_timestamp(F.col("_updated_at")).alias("source_updated_at"),
         )
         # A plan without a start date or snapshot time is not kept.
-        .where(after_epoch(F.col("started_at")) & F.col("source_updated_at").isNotNull())
+        .where(parsed(after_epoch(F.col("started_at")) & F.col("source_updated_at").isNotNull()))
         .withColumn("started_at", F.col("started_at").cast("date"))
         .withColumnRenamed("started_at", "beam_start_date")
     )
