@@ -344,7 +344,7 @@ def near_links(
     return true.union(checked(store_stage(more, "candidates"), points, keyed, width, similarity).where("holds").select("a", "b"))
 
 
-def drop_near(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 9, radius: int = 3, leaf: int = 8_192) -> DataFrame:
+def drop_near(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 9, radius: int = 3, leaf: int = 65_536) -> DataFrame:
     """One document of each group of near copies: the smallest doc_id (null last) of those connected by texts of at least ``similarity``.
 
     Texts link if the exact Jaccard similarity J of their shingle sets is ``similarity`` or more; wide SimHashes of the sets only find the candidates. A bit
