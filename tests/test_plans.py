@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from loomline.operators import asof, versions
-from loomline.plans import gold
+from loomline.plans import gold, silver
 
 
 def day(n: int) -> dt.date:
@@ -93,3 +93,25 @@ def test_the_production_fact_shuffles_four_times(spark, tmp_path):
     one_by_one = asof.with_start_beam_flag(asof.keep_status_machines(textile, status), plans)
     assert sorted(map(str, one_by_one.select("date", "machine", "lot", "is_start_beam").collect())) == sorted(
         map(str, asof.keep_and_flag(textile, status, plans).select("date", "machine", "lot", "is_start_beam").collect()))
+
+
+def test_values_are_parsed_behind_the_exchange(spark, tmp_path):
+    """A file of one row group is read by one task; parsing is not its work."""
+    names = {
+        silver.machine_status: "id machine_id status timestamp", silver.complete_beam: "date machine shift lot production_qty_kgs production_qty_mts worker qty_unit",
+        silver.textile_days_typed: "prod_date machine_no lot_no prod_output_m meter_reading_m cut_length_m",
+        silver.start_beam_typed: "machine_no lot_no beam_no beam_start_date total_yarn length planned_output expected_beam_end_at daily_output_mts _updated_at",
+    }
+    for typed, columns in names.items():
+        path = str(tmp_path / typed.__name__)
+        spark.createDataFrame([tuple("2024-01-02" for _ in columns.split())], ", ".join(f"{c} string" for c in columns.split())).write.parquet(path)
+        rows = typed(spark.read.parquet(path)).where("machine is not null")
+        plan = rows._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+        assert not any("try_cast" in line for line in plan[at + 1:]), typed
+        assert any("try_cast" in line for line in plan[:at]) and "SinglePartition" not in plan[at]
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            assert typed(spark.read.parquet(path)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
