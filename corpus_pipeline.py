@@ -1,6 +1,10 @@
 """Preparing a training corpus: filter, line dedup, near-dedup, mixing, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; results are written as Parquet and read again between stages.
+
+Defined results of every stage: null texts count as empty, null ids are ids of their own kind (smaller than all others where an order is asked for, null last
+where the smallest id stays), columns beside those of ``documents`` pass through under any name except in the last stage, and an empty table gives an empty one.
+What a stage does beyond that is stated with it.
 """
 
 from __future__ import annotations
@@ -18,13 +22,19 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on all labelled documents, does not reject."""
+    """Documents that the toxicity model, fitted on all labelled documents, does not reject.
+
+    Empty texts have no evidence and stay; repeated rows share their fate.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
     return toxicity.classify(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that five or more documents hold; the largest doc_id keeps them."""
+    """Texts without lines that five or more documents hold; the largest doc_id keeps them.
+
+    Rows of one doc_id are one document for the counts. Null texts stay null; a text that loses all its lines is empty. No row is dropped.
+    """
     importable(spark)
     done = lines.dedup_lines(docs)
     size = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -32,19 +42,25 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (shingles of five words, similarity 0.8)."""
+    """One document of each group of near copies (shingles of five words, similarity 0.8).
+
+    The smallest doc_id stays, with one row; null and empty texts are one group, of which one stays.
+    """
     importable(spark)
     return simhash_tree.drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents, or stretches of them, as often as the sources' target weights ask for."""
+    """Documents, or stretches of them, as often as the sources' target weights ask for.
+
+    Texts without words give no row; a null source is a source, the last one. Rows that repeat are laid out each.
+    """
     importable(spark)
     return mixing.mixed_texts(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequence and offset."""
+    """Token pieces with their sequence and offset; a document without words is the one id of its end."""
     importable(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
