@@ -352,6 +352,8 @@ def drop_near(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: i
     prune, so candidates come from trees over the 32-bit parts: two texts meet if any part differs in at most ``radius`` bits, and are compared exactly if
     the whole prints differ in no more bits than expected at ``similarity`` plus four standard deviations. With 18 parts that finds 0.996 of pairs at
     J = 0.8 and more above in expectation; no pair below ``similarity`` is linked.
+
+    Null and empty texts have the empty set and are one group. Null ids come last; repeated rows count once. Further columns pass through.
     """
     doc, row = free_name(docs, "_doc"), free_name(docs, "_row")
     keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)), row: F.xxhash64("text")})
