@@ -102,13 +102,26 @@ class Tree:
         return index, node
 
 
-def block_pairs(points: np.ndarray, radius: int, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def alike_parts(points: np.ndarray, pieces: int, bits: int) -> list[np.ndarray]:
+    """Indexes of points that agree in one of ``pieces`` pieces of their bits, a list entry for each value with two points or more."""
+    width, found = -(-bits // pieces), []
+    for k in range(pieces):
+        value = points >> np.uint64(k * width) & np.uint64(2**width - 1)
+        order = np.argsort(value, kind="stable")
+        ends = np.nonzero(np.diff(value[order]))[0] + 1
+        found += [part for part in np.split(order, ends) if len(part) > 1]
+    return found
+
+
+def block_pairs(points: np.ndarray, radius: int, label: np.ndarray, bits: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of different labels at most ``radius`` bits apart, by an in-memory tree with the same boundary rule.
 
     Labels may be joined on the way: what has the label of most of a block is not compared with that block, so a group that is one already costs little.
+    In points of few bits the tree prunes little; two of them that differ in ``radius`` bits agree in one of ``radius + 1`` pieces, so only those that agree in a
+    piece are compared. A pair may then come more than once.
     """
     random = np.random.default_rng(11)
-    stack = [np.arange(len(points))]
+    stack = [np.arange(len(points))] if bits > 32 else alike_parts(points, radius + 1, bits)
     while stack:
         index = stack.pop()
         own = points[index]
@@ -133,10 +146,10 @@ def block_pairs(points: np.ndarray, radius: int, label: np.ndarray) -> Iterator[
                     yield index[a[keep]], index[b[keep]]
 
 
-def spanning(points: np.ndarray, radius: int, wide: np.ndarray | None = None, most: int = 0) -> tuple[list[tuple[int, int]], np.ndarray]:
+def spanning(points: np.ndarray, radius: int, wide: np.ndarray | None = None, most: int = 0, bits: int = 64) -> tuple[list[tuple[int, int]], np.ndarray]:
     """A spanning forest of the links within one shard and a label per tree; with ``wide`` prints a link must also be at most ``most`` bits of these long."""
     label, forest = np.arange(len(points)), []
-    for left, right in block_pairs(points, radius, label):
+    for left, right in block_pairs(points, radius, label, bits):
         if wide is not None:
             near = np.bitwise_count(wide[left] ^ wide[right]).sum(axis=1) <= most
             left, right = left[near], right[near]
@@ -253,10 +266,10 @@ def shard_candidates(
     """
     made = []
     if label is None:
-        forest, label = spanning(parts, radius, wide, tight)
+        forest, label = spanning(parts, radius, wide, tight, 32)
         a, b = np.array(forest, np.int64).reshape(-1, 2).T
         made.append((a, b, np.zeros(len(a), bool)))
-    for left, right in block_pairs(parts, radius, label):
+    for left, right in block_pairs(parts, radius, label, 32):
         near = np.bitwise_count(wide[left] ^ wide[right]).sum(axis=1) <= most
         if near.any():
             made.append((left[near], right[near], np.ones(int(near.sum()), bool)))
