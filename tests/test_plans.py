@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomline.operators import asof, versions
 from loomline.plans import gold, silver
+from loomline.registry.inputs import Mill
 
 
 def day(n: int) -> dt.date:
@@ -115,3 +116,35 @@ def test_values_are_parsed_behind_the_exchange(spark, tmp_path):
             assert typed(spark.read.parquet(path)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
         finally:
             spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_plans_and_output_without_unused_columns(spark):
+    names = "machine_no lot_no beam_no beam_start_date total_yarn length planned_output expected_beam_end_at daily_output_mts _updated_at".split()
+    rows = [
+        ("7.0", "l", "B", "2024-01-05", "1", "2", "3", None, "4", "2024-01-05"), ("7", " L ", "B", "2024/01/05", "1", "2", "3", None, "9", "2024-01-06"),
+        ("007", "L", "B", "2024-01-05 06:00", "1", "5", "3", "2024-02-01", "9", "2024-01-06"), ("7", "L", "B", "2024-01-05", "1", "9", "3", None, None, "2024-01-06"),
+        ("7", "L", None, "2024-01-05", "1", "2", "3", None, "1d", "2024-01-05"), ("7", "L", "B", "1970-01-01", "1", "2", "3", None, "1", "2024-01-05"),
+        ("8", "L", "B", "2024-01-05", "1", "2", "3", None, "1", None), ("000", "L", "B", "+2024-01-05", "1", "2", "3", None, "1", "2024-01-05"),
+        ("000", "L", "B", "2024-1-5", "1", "2", "3", None, "Infinity", "2024-01-05"),
+    ]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    whole = gold.beam_plan_dim(silver.start_beam(raw))
+    assert sorted(map(str, gold.beam_plan_dim(silver.start_beam_typed(raw)).collect())) == sorted(map(str, whole.collect()))
+    keys = ["beam_plan_key", "machine", "lot", "beam_no", "beam_start_date"]
+    got = gold.daily_plans(silver.start_beam_typed(raw, values=("daily_output_mts",)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(*keys, "planned_daily_output_mts").collect()))
+    assert sorted((r["beam_plan_key"], r["planned_daily_output_mts"]) for r in got.collect()) == [
+        ("WEV000|L|2024-01-05|B", float("inf")), ("WEV007|L|2024-01-05", None), ("WEV007|L|2024-01-05|B", 9.0)]
+    got = gold.beam_plan_keys(silver.start_beam_typed(raw, values=()))
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(*keys).collect()))
+
+    days = [("2024-01-02", "1", "L", a, m, "1") for a, m in ((None, "9"), ("5", "1"), ("5", "2"), ("x", "3"))] + [("2024-01-03", "1", "L", None, "1", "1")]
+    raw = spark.createDataFrame(days, "prod_date string, machine_no string, lot_no string, prod_output_m string, meter_reading_m string, cut_length_m string")
+    columns = ["date", "machine", "lot", "production_qty_mts"]
+    assert sorted(map(str, silver.textile_output(raw).collect())) == sorted(map(str, silver.textile_days(raw).select(*columns).collect()))
+
+
+def test_measures_move_no_text_they_do_not_read(spark):
+    mill = Mill(spark, "/root/testdata/sf0.001")
+    plan = mill.gold.measured.production._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_quantity" in plan and "l_extendedprice" not in plan.split("Relation")[0]
