@@ -118,6 +118,21 @@ def test_values_are_parsed_behind_the_exchange(spark, tmp_path):
             spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_values_are_parsed_once_and_versions_meet_before_the_shuffle(spark, tmp_path):
+    names = "machine_no lot_no beam_no beam_start_date _updated_at".split()
+    rows = [("7.0", "l", "B", "2024-01-05", "2024-01-05"), ("7.0", "l", "B", "2024-01-05", "2024-01-06"), (" ", "l", "B", "2024-01-05", "2024-01-06"),
+            ("7.0", None, "B", "2024-01-05", "2024-01-06"), ("7.0", "l", "B", "1970-01-01", "2024-01-06"), ("7.0", "l", "B", "2024-01-05", "x"), (None, "l", None, None, None)]
+    spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).write.parquet(str(tmp_path / "raw"))
+    typed = silver.start_beam_typed(spark.read.parquet(str(tmp_path / "raw")), values=())
+    assert [tuple(r) for r in typed.distinct().drop("source_updated_at").distinct().collect()] == [(day(5), "WEV007", "L", "B")]
+    plan = typed._jdf.queryExecution().executedPlan().toString().splitlines()
+    parsing = [line for line in plan if "try_cast(replace(_updated_at" in line]
+    assert len(parsing) == 1 and "Project" in parsing[0]
+    dealt = next(line for line in plan if "Exchange hashpartitioning" in line)
+    assert "beam_start_date" in dealt and "_updated_at" not in dealt
+    assert not any("trim" in line for line in plan[plan.index(dealt):])
+
+
 def test_plans_and_output_without_unused_columns(spark):
     names = "machine_no lot_no beam_no beam_start_date total_yarn length planned_output expected_beam_end_at daily_output_mts _updated_at".split()
     rows = [
