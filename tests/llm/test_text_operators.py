@@ -354,6 +354,26 @@ def test_slot_counts_stay_whole(spark):
     assert len(model.counts) == 6 and (model.counts.real + model.counts.imag).max() >= 2**24 + 2
 
 
+def test_context_mixing_learns_online(spark):
+    """A block is predicted before its words are counted: the first one meets no context, later ones do; the slots hold all words in the end."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+
+    def trained(words):
+        return context_mixing.train(spark.createDataFrame([(w.encode(), 1) for w in words], "word binary, n long").coalesce(1))
+
+    first = trained([a + "q" for a in letters[:12]])
+    assert first.mixer.map[:, 0].sum() > 0 and first.mixer.map[:, 1:].sum() == 0 and (first.mixer.weights[1:, :-1] == 0.3).all()
+    more = trained([a + b for a in letters for b in letters[:6]])
+    assert more.mixer.map[:, 1:].sum() > 0 and (more.mixer.weights[1:, :-1] != 0.3).any()
+    met = more.counts.real + more.counts.imag
+    assert len(set(met.sum(axis=1))) == 1 and met.max() == 26 * 6
+    # Equal beginnings share their decisions, and a word costs what it costs alone.
+    some = [b"abcd", b"abce", b"abcd", context_mixing.END]
+    d = more.coder.decisions(some)
+    assert len(d.word) == 16 and len(set(d.same)) == d.same.max() + 1 == 8
+    assert more.log10(some) == pytest.approx([more.log10([w])[0] for w in some])
+
+
 def test_lines_above_the_limit_leave_the_text(spark):
     docs, rows = messy(spark)
     held = defaultdict(set)
