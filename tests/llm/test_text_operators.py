@@ -280,6 +280,17 @@ def test_context_mixing(spark, monkeypatch):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in unknown)
 
 
+def test_passages_end_where_a_word_hash_says_so():
+    rng = np.random.default_rng(3)
+    for text in ("", "one", " ".join(f"w{n}" for n in rng.integers(0, 90, 400))):
+        tokens = [*context_mixing.words_of(text), context_mixing.END]
+        found = list(context_mixing.passages(tokens))
+        stops = [k + 1 for k, w in enumerate(tokens) if w == context_mixing.END or zlib.crc32(w) % context_mixing.PASSAGE == 0]
+        assert [(a, b) for a, b, _ in found] == list(zip([0, *stops], stops))
+        assert len({k for _, _, k in found}) == len({tuple(tokens[a:b]) for a, b, _ in found})
+        assert all(k.startswith(context_mixing.END) and len(k) > 1 for _, _, k in found)
+
+
 def test_word_probabilities_sum_to_one_at_most():
     length, nodes, bits = context_mixing.code_tree(np.bincount(np.frombuffer(b"hello world and some more", np.uint8), minlength=256).astype(float))
     assert abs(sum(0.5 ** n for n in length) - 1) < 1e-12
