@@ -159,6 +159,27 @@ def test_plans_and_output_without_unused_columns(spark):
     assert sorted(map(str, silver.textile_output(raw).collect())) == sorted(map(str, silver.textile_days(raw).select(*columns).collect()))
 
 
+def test_plans_in_force_are_the_last_beams_of_their_days(spark):
+    """Spellings of a plan meet after their snapshots do; a beam without a number is the last."""
+    names = "machine_no lot_no beam_no beam_start_date total_yarn length planned_output expected_beam_end_at daily_output_mts _updated_at".split()
+    rows = [("7.0", "l", beam, day, "1", "2", str(k), None, daily, at) for k, (beam, day, daily, at) in enumerate([
+        ("B1", "2024-01-05", "4", "2024-01-05"), ("B2", "2024-01-05", "4", "2024-01-06"), ("B2", "2024-01-05", "6", "2024-01-06"),
+        ("B2", "2024-01-05", None, "2024-01-06"), ("B2", "2024-01-05", "9", "2024-01-05"), ("B2", "2024/01/05", "5", "2024-01-07"), ("B2", "2024-01-05", "99", "never"),
+        ("B9", "2024-01-05", "99", None), ("B2", "1970-01-01", "4", "2024-01-05"), ("B3", "2024-01-09", "4", "2024-01-05"), (" ", "2024-01-09", "3", "2024-01-05"),
+        (None, "2024-01-09", "8", "2024-01-05"), (None, None, "8", "2024-01-05")])]
+    rows += [("007", "L", "B2", "2024-01-05 06:00", "1", "2", "3", None, "7", "2024-01-07"), (None, "L", "B2", "2024-01-05", "1", "2", "3", None, "7", "2024-01-07")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    whole = gold.beam_plan_dim(silver.start_beam(raw))
+    assert silver.start_beam_newest(raw).count() == 7
+    expected = sorted(map(str, asof.plan_days(whole).join(whole.select("beam_plan_key", "planned_daily_output_mts"), "beam_plan_key").collect()))
+    columns = ["beam_plan_key", "machine", "lot", "beam_start_date", "beam_no", "planned_daily_output_mts"]
+    got = gold.plan_starts(silver.start_beam_newest(raw, "daily_output_mts"))
+    assert sorted(map(str, got.select(*columns).collect())) == expected
+    assert sorted((r["beam_plan_key"], r["planned_daily_output_mts"]) for r in got.collect()) == [("WEV007|L|2024-01-05|B2", 7.0), ("WEV007|L|2024-01-09", 8.0)]
+    for starts in (gold.plan_starts(silver.start_beam_newest(raw)), gold.plan_starts(whole)):
+        assert sorted(map(str, starts.select(*columns[:-1]).collect())) == sorted(map(str, asof.plan_days(whole).select(*columns[:-1]).collect()))
+
+
 def test_measures_move_no_text_they_do_not_read(spark):
     mill = Mill(spark, "/root/testdata/sf0.001")
     plan = mill.gold.measured.production._jdf.queryExecution().optimizedPlan().toString()
