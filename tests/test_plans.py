@@ -184,3 +184,39 @@ def test_measures_move_no_text_they_do_not_read(spark):
     mill = Mill(spark, "/root/testdata/sf0.001")
     plan = mill.gold.measured.production._jdf.queryExecution().optimizedPlan().toString()
     assert "l_quantity" in plan and "l_extendedprice" not in plan.split("Relation")[0]
+
+
+def test_plans_are_cut_to_their_last_beams_before_they_move(spark, tmp_path):
+    names = "machine_no lot_no beam_no beam_start_date daily_output_mts _updated_at".split()
+    rows = [("7.0", "l", f"B{k}", "2024-01-05", str(k), at) for k in range(10) for at in ("2024-01-05", "2024-01-06", "never")]
+    rows += [("7.0", "l", "B9", "2024-01-05", d, "2024-01-06") for d in (None, "12", "x")] + [(" 007", "L", "B99", "2024/01/05", "3", "2024-01-01")]
+    rows += [("8", "l", " ", "2024-01-05", "1", "2024-01-05"), ("8", "l", "B1", "2024-01-05", "2", "2024-01-09"), ("8", "l", "B1", "1970-01-01", "2", "2024-01-09"),
+             ("8", None, "B1", "2024-01-05", "2", "2024-01-09"), (None, "l", "B1", "2024-01-05", "2", "2024-01-09"), ("8", "l", "B1", "2024-02-05", "2", None)]
+    spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    last = silver.start_beam_last(raw, "daily_output_mts")
+    assert last.count() == 3  # two spellings of one start day, and another
+    for value in (None, "daily_output_mts"):
+        got, whole = gold.plan_starts(silver.start_beam_last(raw, value)), gold.plan_starts(silver.start_beam_newest(raw, value))
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    assert sorted((r["beam_plan_key"], r["planned_daily_output_mts"]) for r in gold.plan_starts(last).collect()) == [
+        ("WEV007|L|2024-01-05|B99", 3.0), ("WEV008|L|2024-01-05", 1.0)]
+    plan = last._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "partial_max" in "".join(plan[exchanges[0]:]) and "beam_no" not in plan[exchanges[0]].split("ENSURE")[0].split("hashpartitioning(")[1]
+
+
+def test_output_meets_as_text_and_carries_its_planned_output(spark, tmp_path):
+    days = [("2024-01-02", "7", "L", a) for a in ("1", "9", None, "x")] + [("2024/01/02", "007.0", " l", "10"), ("2024-01-01", "7", "L", None), ("never", "7", "L", "1")]
+    spark.createDataFrame(days, "prod_date string, machine_no string, lot_no string, prod_output_m string").write.parquet(str(tmp_path / "raw"))
+    output = silver.textile_output(spark.read.parquet(str(tmp_path / "raw")))
+    assert sorted(map(tuple, output.collect())) == [(day(1), "WEV007", "L", None), (day(2), "WEV007", "L", 10.0)]
+    plan = output._jdf.queryExecution().executedPlan().toString().splitlines()
+    first = max(k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert "partial_max" in "".join(plan[first:]) and "prod_date" in plan[first]
+    plans = spark.createDataFrame([("k", "WEV007", "L", "B1", day(2), 5.0), ("j", "WEV007", "M", None, day(1), None)], f"{PLAN}, planned_daily_output_mts double")
+    status = spark.createDataFrame([("WEV007",)], "machine string")
+    fact = gold.production_daily_fact(output, status, plans, in_force=True)
+    assert sorted((r["date"].day, r["is_start_beam"], r["beam_plan_key"], r["planned_daily_output_mts"]) for r in fact.collect()) == [(1, True, None, None), (2, True, "k", 5.0)]
+    plain = gold.production_daily_fact(output, status, plans)
+    assert sorted(map(str, gold.with_plan_columns(plain, plans, "planned_daily_output_mts").select(*fact.columns).collect())) == sorted(map(str, fact.collect()))
