@@ -220,3 +220,20 @@ def test_output_meets_as_text_and_carries_its_planned_output(spark, tmp_path):
     assert sorted((r["date"].day, r["is_start_beam"], r["beam_plan_key"], r["planned_daily_output_mts"]) for r in fact.collect()) == [(1, True, None, None), (2, True, "k", 5.0)]
     plain = gold.production_daily_fact(output, status, plans)
     assert sorted(map(str, gold.with_plan_columns(plain, plans, "planned_daily_output_mts").select(*fact.columns).collect())) == sorted(map(str, fact.collect()))
+
+
+def test_machines_meet_before_they_move(spark, tmp_path):
+    days = [("2024-01-02", "7", "L"), ("never", "7", "L"), ("2024-01-02", "007.0", "M"), ("2024-01-02", "8", " "), ("never", "8", "L"), ("2024-01-02", None, "L"),
+            ("2024-01-02", " ", "L"), ("2024/01/02", "wev9", "L")]
+    spark.createDataFrame(days, "prod_date string, machine_no string, lot_no string").write.parquet(str(tmp_path / "days"))
+    plans = [("7.0", "l", "B", "2024-01-05", "2024-01-05"), ("8", "l", "B", "1970-01-01", "2024-01-05"), ("8", None, "B", "2024-01-05", "2024-01-05"),
+             ("8", "l", "B", "2024-01-05", "x"), ("wev9", "l", "B", "2024-01-05", "2024-01-05"), (None, "l", "B", "2024-01-05", "2024-01-05")]
+    spark.createDataFrame(plans, "machine_no string, lot_no string, beam_no string, beam_start_date string, _updated_at string").write.parquet(str(tmp_path / "plans"))
+    days, plans = spark.read.parquet(str(tmp_path / "days")), spark.read.parquet(str(tmp_path / "plans"))
+    for got, whole, names in ((silver.textile_machines(days), silver.textile_days_typed(days, ()), ["WEV007", "WEV9"]),
+                              (silver.start_beam_machines(plans), silver.start_beam_typed(plans, values=()), ["WEV007", "WEV9"])):
+        found = sorted({r["machine"] for r in got.collect()})
+        assert found == sorted({r["machine"] for r in whole.collect()}) and len(found) == len(names)
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(k for k, line in enumerate(plan) if "Exchange hashpartitioning(machine_no" in line)
+        assert "partial_bool_or" in "".join(plan[at:]) or "partial_max" in "".join(plan[at:])
