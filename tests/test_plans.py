@@ -237,3 +237,16 @@ def test_machines_meet_before_they_move(spark, tmp_path):
         plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
         at = next(k for k, line in enumerate(plan) if "Exchange hashpartitioning(machine_no" in line)
         assert "partial_bool_or" in "".join(plan[at:]) or "partial_max" in "".join(plan[at:])
+
+
+def test_production_rows_meet_as_text_before_they_move(spark, tmp_path):
+    days = [("2024-01-02", "1", "L", a, m, c) for a, m, c in ((None, "9", "9"), ("5", "1", "9"), ("5", "2", None), ("5", "2", "3"), ("x", "3", "4"))]
+    days += [("2024/01/02", " 001", "l", "5", "2", "4"), ("2024-01-03", "1.0", "L", None, None, "x"), ("never", "1", "L", "1", "1", "1"), (None, None, None, "1", "1", "1")]
+    spark.createDataFrame(days, "prod_date string, machine_no string, lot_no string, prod_output_m string, meter_reading_m string, cut_length_m string").write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    best = silver.textile_days(raw)
+    assert sorted(map(str, best.collect())) == sorted(map(str, versions.keep_best(silver.textile_days_typed(raw)).collect()))
+    assert sorted(tuple(r)[3:] for r in best.where("date = '2024-01-02'").collect()) == [(5.0, 2.0, 4.0)] and best.count() == 2
+    plan = best._jdf.queryExecution().executedPlan().toString().splitlines()
+    first = max(k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line)
+    assert "partial_max" in "".join(plan[first:]) and "prod_date" in plan[first]
