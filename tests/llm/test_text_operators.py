@@ -385,6 +385,33 @@ def test_context_mixing_learns_online(spark):
     assert more.log10(some) == pytest.approx([more.log10([w])[0] for w in some])
 
 
+def test_words_are_learned_where_they_stand(spark):
+    """Every occurrence trains the model after the words before it: pairs, and triples, in their order cost less than the same words in another."""
+    rng, rows = np.random.default_rng(9), []
+    after = {f"ka{a}": f"to{b}" for a, b in zip("abcdefghijkl", rng.permutation(list("abcdefghijkl")))}
+    third = {(x, y): f"mi{c}" for (x, y), c in zip(after.items(), rng.permutation(list("abcdefghijkl")))}
+
+    def text(first, order):
+        return " ".join(w for x in first for w in ((x, after[x], third[x, after[x]]), (after[x], third[x, after[x]], x))[order])
+
+    starts = lambda: rng.choice(list(after), 60)
+    rows = [(k, text(starts(), 0), "en", "s") for k in range(150)]
+    same = [starts() for _ in range(6)]
+    rows += [(1000 + 2 * k + order, text(first, order), "en", "s") for k, first in enumerate(same) for order in (0, 1)]
+    got = {r["doc_id"]: r for r in context_mixing.score(documents(spark, rows), F.col("doc_id") >= 1000).collect()}
+    for k in range(len(same)):
+        a, b = got[1000 + 2 * k], got[1001 + 2 * k]
+        assert a["base_score"] == pytest.approx(b["base_score"]) and a["score"] > b["score"] + 20
+    # A text costs the same wherever it stands, and its words count once for each time they occur.
+    docs = documents(spark, rows[:40])
+    model = context_mixing.train(context_mixing.vocabulary(docs).where(~context_mixing.is_passage()), docs)
+    some = [[*context_mixing.words_of(t), context_mixing.END] for _, t, *_ in rows[:3]]
+    alone = np.concatenate([model.text_costs(t) for t in some])
+    assert model.text_costs(sum(some, [])) == pytest.approx(alone)
+    bits = sum(len(context_mixing.Coder.decisions(model.coder, [w]).bit) for _, t, *_ in rows[:40] for w in (*context_mixing.words_of(t), context_mixing.END))
+    assert {int(m.real.sum() + m.imag.sum()) for m in (*model.counts, *model.beyond)} == {bits}
+
+
 def test_lines_above_the_limit_leave_the_text(spark):
     docs, rows = messy(spark)
     held = defaultdict(set)
