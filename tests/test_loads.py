@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.errors import PySparkException
@@ -317,3 +318,20 @@ def test_status_files_stream(catalog, tmp_path):
     rows.withColumn("id", F.lit(4).cast("bigint")).write.mode("append").parquet(str(tmp_path / "in"))
     load_available(spark, str(tmp_path / "in"), str(tmp_path / "ckpt")).awaitTermination()
     assert spark.table("raw_machine_status").count() == 1  # late id
+
+
+def test_a_stored_stage_leaves_no_shuffle_files(spark):
+    from loomline.sources.tables import store_stage
+
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in (blocks.apply(k).name() for k in range(blocks.size())) if name.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = spark.conf.get(setting, None), shuffled()
+    stored = store_stage(spark.range(5000).repartition(7, "id").groupBy("id").count(), "shuffled")
+    until = time.time() + 20
+    while shuffled() - held and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - held and spark.conf.get(setting, None) == before
+    assert stored.count() == 5000

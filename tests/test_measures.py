@@ -165,6 +165,19 @@ def test_silver_checks_find_seeded_faults(spark):
     assert [(r["check_name"], r["violations"]) for r in bad] == [("unique_key", 1)]
 
 
+def test_keys_are_counted_as_they_are_typed(spark):
+    """No text of names or keys is moved for a check; nulls are values of a composite key and exempt in a unique column."""
+    rows = spark.createDataFrame(
+        [(day(1), "A", "L"), (day(1), "A", "L"), (None, "A", "L"), (None, "A", "L"), (day(2), None, "L"), (day(1), "A,L", "")], "date date, machine string, lot string")
+    dates = spark.createDataFrame([(day(1), 1), (day(1), 2), (None, 3), (None, 3)], "date date, date_key int")
+    report = quality.summary({"slv_textile_days": rows, "gld_date_dim": dates})
+    found = {(r["table_name"], r["check_name"]): r["violations"] for r in report.collect()}
+    assert {k: v for k, v in found.items() if "unique" in k[1]} == {
+        ("slv_textile_days", "unique_key"): 2, ("gld_date_dim", "unique:date"): 1, ("gld_date_dim", "unique:date_key"): 1}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(date" in plan and "Generate explode" not in plan and "cast(date" not in plan
+
+
 def test_color_and_label(spark):
     df = spark.createDataFrame([(0.1, 0.5), (-0.1, None), (0.0, 0.98765), (None, 1.0)], "c double, p double")
     got = [tuple(r) for r in df.select(ms.change_color(F.col("c")), ms.coverage_label(F.col("p"))).collect()]
