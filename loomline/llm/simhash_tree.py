@@ -43,19 +43,22 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
         return np.array([xxhash.xxh64_intdigest(line, 42)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-width])).tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(line[a:b], 42) for a, b in zip(starts, (ends[width - 1:] - 1).tolist())), np.uint64, len(starts))
+    digest = xxhash.xxh64_digest
+    return np.frombuffer(b"".join([digest(line[a:b], 42) for a, b in zip(starts, (ends[width - 1:] - 1).tolist())]), ">u8").astype(np.uint64)
+
+
+def majority(hashes: np.ndarray) -> bytes:
+    """The bits, by column of ``hashes``, that are set in over half the rows."""
+    ones = np.zeros(64 * hashes.shape[1], np.int64)
+    for at in range(0, len(hashes), 255):
+        rows = np.unpackbits(hashes[at:at + 255].astype(">u8").view(np.uint8), axis=1)
+        ones += np.add.reduce(rows, axis=0, dtype=np.uint8)  # 255 rows at most: a byte holds their sum
+    return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
 def majority_bits(hashes: np.ndarray) -> int:
     """A bit is 1 if it is set in over half the hashes."""
-    if not len(hashes):
-        return 0
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 8192):
-        block = np.ascontiguousarray(hashes[at:at + 8192].astype(">u8")).view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return int.from_bytes(majority(hashes.reshape(-1, 1)), "big") if len(hashes) else 0
 
 
 def fingerprint(text: str | None, width: int) -> int:
@@ -105,6 +108,7 @@ class Tree:
 def alike_parts(points: np.ndarray, pieces: int, bits: int) -> list[np.ndarray]:
     """Indexes of points that agree in one of ``pieces`` pieces of their bits, a list entry for each value with two points or more."""
     width, found = -(-bits // pieces), []
+    points = points.astype(np.uint64)
     for k in range(pieces):
         value = points >> np.uint64(k * width) & np.uint64(2**width - 1)
         order = np.argsort(value, kind="stable")
@@ -121,6 +125,7 @@ def block_pairs(points: np.ndarray, radius: int, label: np.ndarray, bits: int =
     piece are compared. A pair may then come more than once.
     """
     random = np.random.default_rng(11)
+    points = points if bits > 32 else points.astype(np.uint32)
     stack = [np.arange(len(points))] if bits > 32 else alike_parts(points, radius + 1, bits)
     while stack:
         index = stack.pop()
@@ -139,7 +144,10 @@ def block_pairs(points: np.ndarray, radius: int, label: np.ndarray, bits: int =
             kinds, many = np.unique(mine, return_counts=True)
             most = mine == kinds[many.argmax()]
             for rows, columns in ((rest[:BLOCK][most], rest[label[index[at:]] != kinds[many.argmax()]]), (rest[:BLOCK][~most], rest)):
-                a, b = np.nonzero(np.bitwise_count(own[rows, None] ^ own[None, columns]) <= radius)
+                near = np.flatnonzero(np.bitwise_count(own[rows, None] ^ own[None, columns]) <= radius)
+                if not len(near):
+                    continue
+                a, b = np.divmod(near, len(columns))
                 a, b = rows[a], columns[b]
                 keep = (a < b) & (label[index[a]] != label[index[b]])
                 if keep.any():
@@ -149,6 +157,7 @@ def block_pairs(points: np.ndarray, radius: int, label: np.ndarray, bits: int =
 def spanning(points: np.ndarray, radius: int, wide: np.ndarray | None = None, most: int = 0, bits: int = 64) -> tuple[list[tuple[int, int]], np.ndarray]:
     """A spanning forest of the links within one shard and a label per tree; with ``wide`` prints a link must also be at most ``most`` bits of these long."""
     label, forest = np.arange(len(points)), []
+    members: dict[int, list[int]] = {}  # of the labels that have more than one
     for left, right in block_pairs(points, radius, label, bits):
         if wide is not None:
             near = np.bitwise_count(wide[left] ^ wide[right]).sum(axis=1) <= most
@@ -163,7 +172,13 @@ def spanning(points: np.ndarray, radius: int, wide: np.ndarray | None = None, mo
             new = groups != label[a]
             if new.any():
                 forest += [(int(a), int(b)) for b in others[first[new]]]
-                label[np.isin(label, groups[new])] = label[a]
+                # The largest of the trees keeps its label: a point changes it a few times only, however many links come.
+                trees = sorted(((members.pop(int(g), [int(g)]), int(g)) for g in (label[a], *groups[new])), key=lambda tree: len(tree[0]))
+                joined, kept = trees.pop()
+                for points_of_tree, _ in trees:
+                    label[points_of_tree] = kept
+                    joined += points_of_tree
+                members[kept] = joined
     return forest, label
 
 
@@ -239,12 +254,9 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 def wide_print(hashes: np.ndarray, words: int) -> bytes:
     """A SimHash of ``64 * words`` bits: each 64 bits from the hashes mixed anew."""
-    out = []
-    for k in range(words):
-        mixed = (hashes + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append(majority_bits(mixed ^ (mixed >> np.uint64(27))).to_bytes(8, "big"))
-    return b"".join(out)
+    mixed = (hashes[:, None] + np.arange(words, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return majority(mixed ^ (mixed >> np.uint64(27)))
 
 
 def parts_of(prints: np.ndarray) -> np.ndarray:

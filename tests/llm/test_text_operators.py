@@ -320,6 +320,40 @@ def test_near_copies_have_the_similarity(spark):
     assert gone <= lost and len(gone) >= 0.97 * len(lost)
 
 
+def test_a_shard_joins_trees_without_going_over_all_points(monkeypatch):
+    """Links of many small groups and one long chain give the components of brute force; a join touches the points of the smaller trees only."""
+    rng = np.random.default_rng(12)
+    points = [int(rng.integers(2**32))]
+    for _ in range(300):
+        points.append(points[-1] ^ (1 << int(rng.integers(32))))
+    for _ in range(200):
+        first = int(rng.integers(2**32))
+        points += [first, first ^ 5, first ^ 0x80000001]
+    points = np.unique(np.array(points, np.uint64))
+
+    def all_points(*_):
+        raise AssertionError("a join reads the labels of all points")
+
+    monkeypatch.setattr(simhash_tree.np, "isin", all_points)
+    forest, label = simhash_tree.spanning(points, 3, bits=32)
+    near = np.bitwise_count(points[:, None] ^ points[None]) <= 3
+    for k in range(len(points)):  # neighbours have one label
+        assert (label[near[k]] == label[k]).all()
+    assert len(forest) == len(points) - len(set(label.tolist())) and all(near[a, b] for a, b in forest)
+
+
+def test_wide_prints_take_the_majority_of_each_bit():
+    rng = np.random.default_rng(13)
+    for n in (0, 1, 2, 254, 255, 256, 1_100):
+        hashes = np.concatenate((np.full(n // 2, 2**64 - 1, np.uint64), rng.integers(0, 2**63, n - n // 2).astype(np.uint64)))
+        bits = [sum(int(h) >> k & 1 for h in hashes) * 2 > n for k in range(64)]
+        assert simhash_tree.majority_bits(hashes) == sum(1 << k for k, b in enumerate(bits) if b)
+        mixed = [(int(h) + 1) * 0x9E3779B97F4A7C15 % 2**64 for h in hashes]
+        mixed = [(h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64 for h in mixed]
+        second = sum(1 << k for k in range(64) if sum((h ^ h >> 27) >> k & 1 for h in mixed) * 2 > n)
+        assert simhash_tree.wide_print(hashes, 3)[8:16] == second.to_bytes(8, "big")
+
+
 def test_untrue_links_hide_no_true_ones(spark):
     """Chains of texts in which some neighbours are below the similarity, against brute force; the trees have more than one shard."""
     rng, rows = np.random.default_rng(6), []
